@@ -218,9 +218,10 @@ def classes(docs: DataFrame) -> DataFrame:
                 break
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        new = verified(pairs, sets)
-        links = saved(new if links is None else links.unionByName(new))
-        comp = saved(components(links))
+        new = saved(verified(pairs, sets))
+        if links is None or not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            comp = saved(components(links))
     nodes = components(members.unionByName(links)) if links is not None else components(members)
     out = own.join(nodes, own["doc_id"] == nodes["node"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
