@@ -3,8 +3,9 @@
 Instead of L independent tables, two collections of M half keys (R minhashes each) are computed, and the M * M pairs of
 a half key from either collection are the table keys: 2 M R minhashes stand for M * M tables of 2 R. Half keys that no
 other text shares are left out before pairs are formed. Texts of a table are compared with one text of it (its pivot)
-rather than with each other; in tables whose texts aren't all in one class after that, other pivots and at last the
-remaining pairs between classes are compared. Every comparison uses the full shingle sets.
+rather than with each other, and with a second one if they aren't in one class after that; at last the pairs between
+different classes that are left are compared, where two sketches say they may be similar enough. Every link is
+confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -22,7 +23,12 @@ from ledgerlens.llm.common import saved, table
 WIDTH = 5  # words in a shingle
 M, R = 12, 2  # half keys in a collection, minhashes in a half key
 PERCENT = 75
-PIVOTS = 3  # rounds with pivots before pairs
+#: Of the 48 minhashes of a pair at the threshold, 36 agree on average; fewer than 24 do once in 20,000 pairs, which is
+#: as rare as such a pair sharing no table (once in 10,000). Of pairs at 0.8 it is one in five million.
+ALIKE = 24
+#: A finer sketch, for the pairs that are left: of two sets at the threshold less than BINS_LEAST of the bins agree once in 30,000.
+BINS, BINS_LEAST = 512, 0.66
+PIVOTS = 2  # rounds with pivots before pairs
 _WORDS: dict[bytes, int] = {}
 
 
@@ -106,17 +112,26 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, half array<long>, mins array<long>")
 
 
+def bins_of(s: np.ndarray) -> np.ndarray:
+    """One-permutation sketch: of each of BINS classes of hashes 7 bits of the smallest (1 to 127; 0: none), packed."""
+    low = np.zeros(BINS, np.uint64)
+    own, first = np.unique(s & np.uint64(BINS - 1), return_index=True)
+    low[own.astype(np.int64)] = (s[first] >> np.uint64(20)) % np.uint64(127) + np.uint64(1)
+    return packed_mins(low)
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("s", pa.list_(pa.int64()))])
+    """doc_id, s (the set), bins (its sketch)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("s", pa.list_(pa.int64())), ("bins", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for at in range(0, len(ids), 256):
-                part = [shingles(t.as_py()).view(np.int64) for t in texts[at : at + 256]]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 256], pa.int64()), pa.array(part, schema.field("s").type)], schema=schema)
+                part = [shingles(t.as_py()) for t in texts[at : at + 256]]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 256], pa.int64()), pa.array([x.view(np.int64) for x in part], schema.field("s").type), pa.array(map(bins_of, part), schema.field("bins").type)], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s array<long>, bins array<long>")
 
 
 def packed_mins(best: np.ndarray) -> np.ndarray:
@@ -139,8 +154,15 @@ def _agree(a: Column, b: Column) -> Column:
 
 
 def _near(na: Column, nb: Column, ma: Column, mb: Column) -> Column:
-    """Exact bound on the sets' sizes; and at least 18 of the 48 minhashes alike (of a pair at the threshold, 36 are; fewer than 18 happens once in 10^8)."""
-    return (F.lit(100) * F.least(na, nb) >= F.lit(PERCENT) * F.greatest(na, nb)) & (_agree(ma, mb) >= 3 * 2 * M * R // 8)
+    """Exact bound on the sets' sizes; and at least ALIKE of the 48 minhashes alike."""
+    return (F.lit(100) * F.least(na, nb) >= F.lit(PERCENT) * F.greatest(na, nb)) & (_agree(ma, mb) >= ALIKE)
+
+
+def _bins_agree(a: Column, b: Column) -> Column:
+    """Whether the share of agreeing bins among those not empty in both reaches BINS_LEAST: alike - empty >= least * (all - empty), as one sum."""
+    ones, tops, places, least = 0x007F7F7F7F7F7F7F, 0x0080808080808080, -(-BINS // 7) * 7, round(100 * BINS_LEAST)
+    zero = lambda x: F.lit(7) - F.bit_count((x + F.lit(ones)).bitwiseAND(F.lit(tops))).cast("int")
+    return F.aggregate(F.zip_with(a, b, lambda x, y: zero(x.bitwiseXOR(y)) * 100 - zero(x.bitwiseOR(y)) * (100 - least)), F.lit(0), lambda t, e: t + e) >= F.lit(least * places)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -150,6 +172,30 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(F.lit(100) * F.col("i") >= F.lit(PERCENT) * (F.size("a") + F.size("b") - F.col("i"))).select("u", "v")
 
 
+def _pivot_pairs(cells: DataFrame, turn: int) -> DataFrame:
+    """From cells (key, u, c: class): each text with its table's pivot, if they are of different classes."""
+    order = F.struct(F.xxhash64(F.lit(turn), F.col("u")).alias("o"), F.col("u").alias("v"), F.col("c").alias("cv"))
+    pivot = cells.groupBy("key").agg(F.min(order).alias("p"), F.count("*").alias("k")).where("k > 1").select("key", "p.v", "p.cv")
+    pairs = cells.join(pivot, "key").where("c <> cv")
+    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def _rest(likely: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs of different classes that share a half key of the first collection, each once, by either sketch.
+
+    A pair comes from the first half key it shares alone. What doesn't pass the sketches never becomes a row.
+    """
+    keys = F.transform("a", lambda x: F.xxhash64(x["place"], x["value"]))
+    own = likely.join(comp, likely["u"] == comp["node"], "left").select("u", "n", "mins", keys.alias("keys"), F.coalesce("component", "u").alias("c"))
+    rows = own.withColumn("key", F.explode("keys"))
+    several = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
+    rows = rows.join(several, "key", "left_semi").join(sets.select(F.col("doc_id").alias("u"), "bins"), "u")
+    other = rows.select(*[F.col(c).alias(c if c == "key" else f"{c}_2") for c in rows.columns])
+    once = F.element_at(F.array_intersect("keys", "keys_2"), 1) == F.col("key")
+    pairs = rows.join(other, "key").where((F.col("u") > F.col("u_2")) & (F.col("c") != F.col("c_2")) & _near(F.col("n"), F.col("n_2"), F.col("mins"), F.col("mins_2")) & once & _bins_agree(F.col("bins"), F.col("bins_2")))
+    return pairs.select("u", F.col("u_2").alias("v"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for the nodes of links (u, v), by large and small stars.
 
@@ -192,37 +238,25 @@ def classes(docs: DataFrame) -> DataFrame:
     sides = shared.select("u", F.filter("keys", lambda k: k["place"] < M).alias("a"), F.filter("keys", lambda k: k["place"] >= M).alias("b")).where("size(a) > 0 and size(b) > 0")
     likely = saved(sides.join(reps.select("u", "n", "mins"), "u"))
     tensor = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x["place"], x["value"], y["place"], y["value"]))))
-    cells = likely.select("u", "n", "mins", F.explode(tensor).alias("key"))
+    cells = likely.select("u", F.explode(tensor).alias("key"))
+    sketch = likely.select("u", "n", "mins")
     sets = saved(shingle_sets(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(likely.select(F.col("u").alias("doc_id")), "doc_id", "left_semi")))
 
     links, tried, comp = None, None, None
     for turn in range(PIVOTS + 1):
-        if comp is None:
-            now = cells.withColumn("c", F.col("u"))
-        else:
-            now = cells.join(comp, cells["u"] == comp["node"], "left").select("u", "n", "mins", "key", F.coalesce("component", "u").alias("c"))
-            open_keys = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
-            now = now.join(open_keys, "key", "left_semi")
-        if turn < PIVOTS:
-            order = F.struct(F.xxhash64(F.lit(turn), F.col("u")).alias("o"), F.col("u").alias("v"), F.col("n").alias("nv"), F.col("mins").alias("mv"), F.col("c").alias("cv"))
-            pivot = now.groupBy("key").agg(F.min(order).alias("p"), F.count("*").alias("k")).where("k > 1").select("key", "p.v", "p.nv", "p.mv", "p.cv")
+        if turn == PIVOTS:
+            pairs = _rest(likely, sets, comp)
         else:
-            pivot = now.select("key", F.col("u").alias("v"), F.col("n").alias("nv"), F.col("mins").alias("mv"), F.col("c").alias("cv"))
-        pairs = now.join(pivot, "key").where((F.col("c") != F.col("cv")) & _near(F.col("n"), F.col("nv"), F.col("mins"), F.col("mv")))
-        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = saved(pairs)
-        if turn and pairs.isEmpty():
-            if turn == PIVOTS:
-                break
-            continue
+            now = cells.withColumn("c", F.col("u")) if comp is None else cells.join(comp, cells["u"] == comp["node"], "left").select("u", "key", F.coalesce("component", "u").alias("c"))
+            pairs = _pivot_pairs(now, turn).join(sketch, "u").join(sketch.select(F.col("u").alias("v"), F.col("n").alias("nv"), F.col("mins").alias("mv")), "v")
+            pairs = pairs.where(_near(F.col("n"), F.col("nv"), F.col("mins"), F.col("mv"))).select("u", "v")
+        pairs = saved(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
         tried = pairs if tried is None else tried.unionByName(pairs)
         new = saved(verified(pairs, sets))
         if links is None or not new.isEmpty():
             links = new if links is None else links.unionByName(new)
-            comp = saved(components(links))
-    nodes = components(members.unionByName(links)) if links is not None else components(members)
+            comp = saved(components(links)) if turn < PIVOTS else comp
+    nodes = components(members.unionByName(links))
     out = own.join(nodes, own["doc_id"] == nodes["node"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
 
