@@ -112,7 +112,7 @@ lines0 AS (SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey OR
    sha256('tx:' || l_orderkey) AS txid, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount,
    CASE l_returnflag || l_linestatus WHEN 'RO' THEN 'NULL_DATA' WHEN 'AF' THEN 'P2PKH' WHEN 'AO' THEN 'P2SH' WHEN 'NF' THEN 'P2WPKH' WHEN 'NO' THEN 'P2WSH' WHEN 'RF' THEN 'P2TR' ELSE 'UNKNOWN' END AS script_type,
    ADDRESS_COLUMN AS a FROM lineitem),
-outputs AS (SELECT txid || ':' || output_index AS output_id, output_index, lines0.txid, amount, script_type, CASE WHEN script_type <> 'NULL_DATA' THEN 'addr' || a END AS address, block_height
+outputs AS (SELECT lines0.txid || ':' || output_index AS output_id, output_index, lines0.txid, amount, script_type, CASE WHEN script_type <> 'NULL_DATA' THEN 'addr' || a END AS address, block_height
  FROM lines0 JOIN base ON base.o_orderkey = l_orderkey),
 inputs AS (SELECT txid || ':' || input_index AS input_id, *, previous_txid || ':' || previous_output_index AS previous_output_id FROM (
    SELECT CAST(row_number() OVER (PARTITION BY b.txid ORDER BY l.output_index) - 1 AS BIGINT) AS input_index, b.txid, l.txid AS previous_txid, l.output_index AS previous_output_index, b.block_height, b.is_coinbase
