@@ -26,8 +26,8 @@ PERCENT = 75
 #: Of the 48 minhashes of a pair at the threshold, 36 agree on average; fewer than 24 do once in 20,000 pairs, which is
 #: as rare as such a pair sharing no table (once in 10,000). Of pairs at 0.8 it is one in five million.
 ALIKE = 24
-#: A finer sketch, for the pairs that are left: of two sets at the threshold less than BINS_LEAST of the bins agree once in 30,000.
-BINS, BINS_LEAST = 512, 0.66
+#: A finer sketch, for the pairs that are left: of two sets at the threshold less than BINS_LEAST of the bins agree once in 10,000 at most.
+BINS, BINS_LEAST = 1024, 0.70
 PIVOTS = 2  # rounds with pivots before pairs
 _WORDS: dict[bytes, int] = {}
 
