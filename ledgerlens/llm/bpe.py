@@ -110,7 +110,7 @@ class PrefixEncoder:
                 key = s << 32 | t
                 ok = borders.get(key)
                 if ok is None:
-                    if len(borders) > 1_000_000:
+                    if len(borders) > 300_000:
                         borders.clear()
                     ok = borders[key] = v._border_holds(s, t)
                 if ok:
@@ -136,7 +136,7 @@ class PrefixEncoder:
 class Encoder:
     """Encodes texts, each match of the pattern separately; keeps a bounded store of the words seen."""
 
-    def __init__(self, vocabulary: Vocabulary, words: int = 600_000):
+    def __init__(self, vocabulary: Vocabulary, words: int = 200_000):
         self.v, self.words = vocabulary, words
         self.find = regex.compile(vocabulary.pattern).findall
         self.seen: dict[str, bytes] = {}
@@ -165,7 +165,7 @@ class Encoder:
                 key = s << 32 | t
                 ok = borders.get(key)
                 if ok is None:
-                    if len(borders) > 1_000_000:
+                    if len(borders) > 300_000:
                         borders.clear()
                     ok = borders[key] = holds(s, t)
                 if not ok:
