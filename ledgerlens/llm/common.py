@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's setting that deletes a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_checkpoints(spark: SparkSession) -> None:
     """Make DataFrame.checkpoint() usable: the cluster's shared folder, or a temporary one where none is set."""
@@ -18,9 +21,19 @@ def shared_checkpoints(spark: SparkSession) -> None:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """The frame, computed once and written to the shared checkpoint folder, so that lost executors lose nothing."""
+    """The frame, computed once and written to the shared checkpoint folder, so that lost executors lose nothing.
+
+    Nothing reads the shuffles behind it again, so Spark deletes their files once it is written. The plan is a copy:
+    one that df itself has run keeps its shuffles.
+    """
     shared_checkpoints(df.sparkSession)
-    return df.checkpoint()
+    conf = df.sparkSession.conf
+    was = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()
+    finally:
+        conf.set(CLEANUP, was)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
