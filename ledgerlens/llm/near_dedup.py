@@ -108,6 +108,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     rows.append((doc, 0, None, None, None, None))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        _WORDS.clear()  # the worker lives on for other stages
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, half array<long>, mins array<long>")
 
@@ -130,6 +131,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             for at in range(0, len(ids), 256):
                 part = [shingles(t.as_py()) for t in texts[at : at + 256]]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 256], pa.int64()), pa.array([x.view(np.int64) for x in part], schema.field("s").type), pa.array(map(bins_of, part), schema.field("bins").type)], schema=schema)
+        _WORDS.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s array<long>, bins array<long>")
 
