@@ -80,6 +80,23 @@ def shortest_path(c: Chain) -> DataFrame:
     return paths.distances(early_edges(c), A).groupBy(F.col("hops").cast("long").alias("hops")).agg(F.count("*").alias("n"))
 
 
+EDGES = "SELECT address AS a, txid AS b FROM performs UNION SELECT txid, address FROM benefits_to"
+
+
+def edges(c: Chain) -> DataFrame:
+    return c.performs.select(F.col("address").alias("a"), F.col("txid").alias("b")).unionByName(c.benefits_to.select(F.col("txid").alias("a"), F.col("address").alias("b")))
+
+
+@query(
+    f", e AS MATERIALIZED ({EDGES}), s AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, hops) AS (SELECT 'addr1', 0 UNION SELECT s.b, hops + 1 FROM r JOIN s ON s.a = r.node WHERE hops < 10) SELECT hops, count(*) AS n FROM (SELECT node, CAST(min(hops) AS BIGINT) AS hops FROM r GROUP BY node) GROUP BY hops",
+    address_column="l_partkey",
+    recursive=True,
+)
+def path_distances(c: Chain) -> DataFrame:
+    """How many nodes stand at each distance from addr1 over the edges of every block."""
+    return paths.distances(edges(c), A).groupBy(F.col("hops").cast("long").alias("hops")).agg(F.count("*").alias("n"))
+
+
 @query("SELECT t.txid, (SELECT list_sort(list(DISTINCT r.input_id || '|' || r.output_id || '|' || r.address)) FROM resolved r WHERE r.txid = t.txid AND address IS NOT NULL) AS spent, (SELECT list_sort(list(DISTINCT o.output_id || '|' || o.address)) FROM outputs o WHERE o.txid = t.txid AND address IS NOT NULL) AS made FROM transactions t WHERE block_height = 1000")
 def tx_detail(c: Chain) -> DataFrame:
     """Inputs and outputs of a block's transactions as sorted texts; sides without an address are null."""

@@ -6,6 +6,8 @@ import pytest
 import __spark_entry__
 from ledgerlens.functions import columns as fn
 from ledgerlens.operators import chain_state, ledger, paths
+from ledgerlens.plans import investigation
+from ledgerlens.plans.chain_view import Chain
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "lineitem", "events"]
@@ -68,6 +70,27 @@ def test_paths_and_gaps(spark):
     assert sorted(map(tuple, chain_state.sequence_gaps(notes, bucket=3).collect())) == [(3, 5), (7, 9)]
 
 
+def test_path_distances_take_every_block(spark):
+    c = Chain(spark, SF, "l_partkey")
+    near = {}
+    for a, b in investigation.edges(c).collect():
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    hops, front = {"addr1": 0}, ["addr1"]
+    for hop in range(1, 11):
+        front = sorted({b for a in front for b in near.get(a, ()) if b not in hops})
+        hops |= dict.fromkeys(front, hop)
+    want = sorted((h, sum(x == h for x in hops.values())) for h in set(hops.values()))
+    got = sorted((r.hops, r.n) for r in __spark_entry__.queries()["path_distances"](spark, SF).collect())
+    assert got == want
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    assert got == sorted(con.execute(__spark_entry__.oracle_sql()["path_distances"]).fetchall())
+    # each transaction with an address in its outputs is a node of the graph, whatever its block
+    assert {r.txid for r in c.benefits_to.select("txid").distinct().collect()} <= set(near)
+
+
 def test_imports_without_the_text_part():
     import subprocess
     import sys
