@@ -55,24 +55,64 @@ RULES = [
     (("SPDXGPL3",), "GPL-3.0"),
 ]
 HINT = re.compile("licen|permission|copyright|warrant|redistribut", re.ASCII)
-END = re.compile(r"(?<=[.!?;:])\s+|\n")
+END = re.compile(r"(?<=[.!?;:])\s+|\n| ?https?://\S+", re.IGNORECASE)
 OTHER = re.compile(r"[^a-z0-9]+")
+STOP = re.compile(r"[.!?][^\w.!?]*\Z")
+NUMBER = re.compile(r"[\W_]*(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})[.)](?:\s+|\Z)", re.ASCII | re.IGNORECASE)
+#: Every first n words of a known sentence.
+BEGINNINGS = {" ".join(words[:n]) for words in map(str.split, SENTENCES) for n in range(1, len(words) + 1)}
 
 
-def sentence_ids(text: str) -> list[tuple[str, int, int]]:
-    """(identifier, start, end) of known sentences and of stretches of unknown ones (identifier empty), in order."""
+def _parts(text: str) -> list[tuple[str, int, int]]:
+    """(normalised text, start, end) of the pieces between sentence ends, colons, semicolons, links and line ends."""
     out: list[tuple[str, int, int]] = []
     at = 0
     for end, after in [*((m.start(), m.end()) for m in END.finditer(text)), (len(text), len(text))]:
         plain = OTHER.sub(" ", text[at:end].lower()).strip()
         if plain:
-            found = SENTENCES.get(plain, "")
-            if found or not out or out[-1][0]:
-                out.append((found, at, end))
+            out.append((plain, at, end))
         at = after
     return out
 
 
+def _known(text: str, parts: list[tuple[str, int, int]], k: int, plain: str) -> tuple[str, int]:
+    """(identifier, last piece) of the longest known sentence from piece k, which reads plain; identifier empty if none.
+
+    A sentence may go on over colons, semicolons and wrapped lines, but not over a full stop.
+    """
+    found, last = "", k
+    while plain in BEGINNINGS:
+        if plain in SENTENCES:
+            found, last = SENTENCES[plain], k
+        if k + 1 == len(parts) or STOP.search(text, parts[k][1], parts[k][2]):
+            break
+        k += 1
+        plain += " " + parts[k][0]
+    return found, last
+
+
+def sentence_ids(text: str) -> list[tuple[str, int, int]]:
+    """(identifier, start, end) of known sentences and of stretches of unknown ones (identifier empty), in order.
+
+    List numbers before sentences don't count as sentences.
+    """
+    out: list[tuple[str, int, int]] = []
+    parts, k = _parts(text), 0
+    while k < len(parts):
+        plain, start, end = parts[k]
+        found, last = _known(text, parts, k, plain)
+        if not found and (number := NUMBER.match(text, start, end)):
+            if number.end() == end:
+                k += 1
+                continue
+            found, last = _known(text, parts, k, OTHER.sub(" ", text[number.end() : end].lower()).strip())
+            start = number.end() if found else start
+        if found or not out or out[-1][0]:
+            out.append((found, start, parts[last][2]))
+        k = last + 1
+    return out
+
+
 def scan(text: str) -> list[tuple[str, int, int]]:
     """(licence, start, end), in order; known sentences that no rule takes give (unknown, start, end)."""
     if not HINT.search(text.lower()):

@@ -190,3 +190,65 @@ def test_licenses(spark):
     assert [x for x, _, _ in licenses.scan("Hello there.\n" + mit + "\nReleased under the MIT License.")] == ["MIT", "MIT"]
     assert licenses.scan("no such thing") == [] and [x[0] for x in licenses.scan("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.")] == ["unknown"]
     assert all(r.n_found == 0 for r in licenses.scan_documents(odd_docs(spark)).collect())
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL2 = GPL.replace("software:", "software;").replace("Foundation, either version 3", "Foundation; either version 2")
+
+
+def test_licenses_in_their_standard_wording():
+    cut = lambda text, k, n: "\n\n".join(text.split("\n\n")[k:n])
+    cases = [
+        (APACHE, "Apache-2.0"), (cut(APACHE, 0, 1).rsplit("\n", 1)[0], "Apache-2.0"), (MIT, "MIT"), (cut(MIT, 0, 2), "MIT"), (BSD, "BSD-2-Clause"), (BSD.replace("1. ", "(a) ").replace("2. ", "(b) "), "BSD-2-Clause"), (BSD.replace("1. ", "* ").replace("2. ", "* "), "BSD-2-Clause"),
+        (GPL, "GPL-3.0-or-later"), (GPL2, "GPL-2.0-or-later"), (cut(GPL, 0, 1), "GPL-3.0-or-later"), (cut(GPL2, 0, 1), "GPL-2.0-or-later"),
+        ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"), ("This work is licensed under the GNU General Public License version\n3.", "GPL-3.0"), ("Released under the MIT License.", "MIT"), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("SPDX-License-Identifier: MIT", "MIT"), ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("SPDX-License-Identifier: GPL-3.0-only", "GPL-3.0"),
+    ]
+    assert {x for _, x in cases} == {x for _, x in licenses.RULES}
+    for text, want in cases:
+        for own in (text, text.replace("\n", "\r\n"), "".join(f" * {line}\n" for line in text.split("\n")), " ".join(text.split())):
+            found = licenses.scan(f"Some words.\n{own}\nOther words.")
+            assert [x for x, _, _ in found] == [want], own
+    start, end = licenses.scan(f"Some words.\n{BSD}\nOther words.")[0][1:]
+    assert f"Some words.\n{BSD}\nOther words."[start:end] == BSD
+    assert licenses.scan("Released under. The MIT license") == licenses.scan("not released under the MIT license") == []
