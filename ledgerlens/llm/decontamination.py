@@ -1,14 +1,14 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Benchmark items are cut into overlapping windows. A stretch of a text within e edits of a window of length w shares at
-least w + 1 - q (e + 1) of its q-grams, all on diagonals (place in text minus place in window) that lie within e of
-each other. So shared q-grams are counted per window in bands of diagonals that overlap by e; bands that reach the
-bound are kept, and banded alignment decides them.
+A stretch of a text within e edits of w characters of an item shares at least w + 1 - q (e + 1) of their q-grams, all
+on diagonals (place in text minus place in item) that lie within e of each other. So shared q-grams are counted in
+bands of diagonals that overlap by e, wherever in an item they stand. Such a stretch also holds a run of characters
+that are all the same, as one of its e + 1 parts between edits; where the bound is reached, alignment on the diagonals
+within e of each run, to both sides of it, decides.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import map_rows, table
 
 Q = 12
-WINDOW, STRIDE = 80, 40  # normalised characters
+FRAGMENT = 40  # normalised characters; any so many of an item are looked for
+WHOLE = 80  # shorter items are looked for as a whole, too, which allows more edits in one place
 RATE = 0.05  # edits per character
+EDITS = int((WHOLE - 1) * RATE)  # the most in one stretch
+BOUND = FRAGMENT + 1 - Q * (int(FRAGMENT * RATE) + 1)  # shared q-grams; a shorter or whole item needs no fewer among as many places
 LEAST = 30  # shorter items can't be told from chance
 BLOCK_CHARS = 8_000_000  # of benchmark text per index; a larger benchmark is scanned for in several blocks
 _TABLE: list[np.ndarray] = []
@@ -53,6 +56,10 @@ def normalise(text: str) -> tuple[np.ndarray, np.ndarray]:
     return a, places
 
 
+def as_text(a: np.ndarray) -> str:
+    return a.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def grams(a: np.ndarray) -> np.ndarray:
     """A 64-bit hash for each q-gram (Q = 8 + 4)."""
     if len(a) < Q:
@@ -69,102 +76,111 @@ def grams(a: np.ndarray) -> np.ndarray:
         return out ^ (out >> np.uint64(31))
 
 
+def reach(x: str, y: str, edits: int) -> list[tuple[int, int]]:
+    """For each number of edits from 0: the most characters of x that a beginning of y matches, and how many of y those are."""
+    out: list[tuple[int, int]] = []
+    front = {0: 0}  # diagonal (place in y minus place in x): furthest place in x
+    for k in range(edits + 1):
+        if k:
+            new: dict[int, int] = {}
+            for d, i in front.items():
+                for to, at in ((d, i + 1), (d - 1, i + 1), (d + 1, i)):  # another character, one missing in y, one more in y
+                    if at <= len(x) and at + to <= len(y) and at > new.get(to, -1):
+                        new[to] = at
+            front = new
+        for d, i in front.items():
+            while i < len(x) and i + d < len(y) and x[i] == y[i + d]:
+                i += 1
+            front[d] = i
+        best = max(((i, i + d) for d, i in front.items()), default=(0, 0))
+        out.append(max(best, out[-1], key=lambda p: p[0]) if out else best)
+    return out
+
+
 class Index:
-    """Windows of benchmark items and where their q-grams stand."""
+    """Benchmark items and where their q-grams stand."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.windows: list[tuple[int, np.ndarray]] = []
-        self.owner: list[int] = []
+        self.items: list[tuple[int, str, list[tuple[int, int]]]] = []  # id, normalised text, (characters, edits) that count as found
+        h: list[np.ndarray] = []
         for item, text in items:
             a, _ = normalise(text or "")
             if len(a) and a[-1] == 32:
                 a = a[:-1]
             if len(a) < LEAST:
                 continue
-            starts = sorted({*range(0, max(1, len(a) - WINDOW + 1), STRIDE), max(0, len(a) - WINDOW)})
-            for s in starts:
-                self.windows.append((item, a[s : s + WINDOW]))
-        h = [grams(a) for _, a in self.windows]
+            sizes = sorted({min(len(a), FRAGMENT), len(a) if len(a) < WHOLE else FRAGMENT})
+            self.items.append((item, as_text(a), [(n, int(n * RATE)) for n in sizes]))
+            h.append(grams(a))
         flat = np.concatenate(h) if h else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
         self.hashes = flat[order]
-        self.window = np.repeat(np.arange(len(h)), list(map(len, h)))[order] if h else np.zeros(0, np.int64)
+        self.owner = np.repeat(np.arange(len(h)), list(map(len, h)))[order] if h else np.zeros(0, np.int64)
         self.place = np.concatenate([np.arange(len(x)) for x in h])[order] if h else np.zeros(0, np.int64)
-        self.size = np.array([len(a) for _, a in self.windows], np.int64)
-        self.edits = (self.size * RATE).astype(np.int64)
-        self.bound = np.maximum(1, self.size + 1 - Q * (self.edits + 1))
+        self.longest = max(map(len, h), default=0)
         self.bits = min(24, max(16, int(np.log2(len(flat) + 1)) + 4))
         self.filter = np.zeros(1 << self.bits, bool)
         self.filter[(self.hashes >> np.uint64(64 - self.bits)).astype(np.int64)] = True
-        self.least = int(self.bound.min()) if len(h) else sys.maxsize
-        self.reach = int((self.size + self.edits).max()) if len(h) else 0
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(item, start, end, edits) of stretches of the text within the edit budget of a window."""
-        if not self.windows or len(text) < LEAST - 5:
+        """(item, start, end, edits) of stretches of the text within the edit budget of a fragment; none within another of its item."""
+        if not self.items or len(text) < LEAST - 5:
             return []
         a, places = normalise(text)
+        out: list[tuple[int, int, int, int]] = []
+        for item, start, end, edits in sorted(self._stretches(a), key=lambda x: (x[0], x[1], -x[2], x[3])):
+            if not out or out[-1][0] != item or end > out[-1][2]:
+                out.append((item, start, end, edits))
+        return [(item, int(places[start]), int(places[end - 1]) + 1, edits) for item, start, end, edits in out]
+
+    def _stretches(self, a: np.ndarray) -> set[tuple[int, int, int, int]]:
         h = grams(a)
         at = np.flatnonzero(self.filter[(h >> np.uint64(64 - self.bits)).astype(np.int64)])
-        # fewer than `least` q-grams anywhere within a window's reach: nothing can qualify
-        if len(at) < self.least or not (at[self.least - 1 :] - at[: len(at) - self.least + 1] <= self.reach).any():
-            return []
+        # fewer than BOUND q-grams anywhere within a fragment's reach: nothing can qualify
+        if len(at) < BOUND or not (at[BOUND - 1 :] - at[: len(at) - BOUND + 1] <= FRAGMENT + EDITS).any():
+            return set()
         low, high = np.searchsorted(self.hashes, h[at], "left"), np.searchsorted(self.hashes, h[at], "right")
         n = high - low
-        if n.sum() < self.least:
-            return []
+        if n.sum() < BOUND:
+            return set()
         entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        window, diagonal = self.window[entry], np.repeat(at, n) - self.place[entry]
-        e = self.edits[window]
-        width = 2 * (e + 1)
-        shifted = diagonal + 4 * WINDOW  # not negative
-        found: dict[tuple[int, int], tuple[int, int]] = {}
-        for move in (0, 1):
-            band = (shifted + move * (e + 1)) // width
-            keys, counts = np.unique(window << 40 | band, return_counts=True)
-            w = keys >> 40
-            good = counts >= self.bound[w]
-            for win, b in zip(w[good].tolist(), (keys[good] & ((1 << 40) - 1)).tolist(), strict=True):
-                wd, ed = 2 * (int(self.edits[win]) + 1), int(self.edits[win])
-                first = b * wd - move * (ed + 1) - 4 * WINDOW
-                hit = self._verify(a, win, first, first + wd - 1, ed)
-                if hit:
-                    old = found.get((win, hit[0] // 8))
-                    if old is None or hit[2] < old[2]:
-                        found[win, hit[0] // 8] = hit
-        return sorted({(int(self.windows[win][0]), int(places[s]), int(places[t - 1]) + 1, d) for (win, _), (s, t, d) in found.items()})
-
-    def _verify(self, a: np.ndarray, win: int, first: int, last: int, edits: int) -> tuple[int, int, int] | None:
-        """Banded alignment of a window with the text on diagonals first - edits to last + edits: (start, end, edits) or None."""
-        pattern = self.windows[win][1]
-        m = len(pattern)
-        low, high = first - edits, last + edits
-        for d in range(max(0, first), min(last, len(a) - m) + 1):
-            if np.array_equal(a[d : d + m], pattern):
-                return d, d + m, 0
-        big, width = edits + 1, high - low + 1
-        # cost[k]: pattern[:i] against text ending at i + low + k; a start anywhere in the band is free
-        ends = np.arange(low, high + 1)
-        cost = np.where((ends >= 0) & (ends <= len(a)), 0, big)
-        start = ends.copy()
-        for i in range(1, m + 1):
-            ends = np.arange(low, high + 1) + i
-            inside = (ends >= 1) & (ends <= len(a))
-            ch = a[np.clip(ends - 1, 0, len(a) - 1)]
-            new = cost + (ch != pattern[i - 1])
-            new_start = start.copy()
-            drop = np.append(cost[1:], big) + 1  # the pattern's character is missing in the text
-            take = drop < new
-            new[take], new_start[take] = drop[take], np.append(start[1:], 0)[take]
-            new = np.where(inside | (ends == 0), np.minimum(new, big), big)
-            for k in range(1, width):  # an extra character in the text
-                if new[k - 1] + 1 < new[k]:
-                    new[k], new_start[k] = new[k - 1] + 1, new_start[k - 1]
-            cost, start = new, new_start
-            if cost.min() > edits:
-                return None
-        k = int(np.argmin(cost))
-        return (max(0, int(start[k])), int(low + k + m), int(cost[k])) if cost[k] <= edits else None
+        owner, place = self.owner[entry], self.place[entry]
+        diagonal = np.repeat(at, n) - place
+        good = np.zeros(len(entry), bool)
+        for move in (0, EDITS + 1):
+            band = (diagonal + self.longest + move) // (2 * (EDITS + 1))
+            order = np.lexsort((place, band, owner))
+            o, b, p = owner[order], band[order], place[order]
+            first, last = slice(0, len(o) - BOUND + 1), slice(BOUND - 1, None)
+            full = (o[first] == o[last]) & (b[first] == b[last]) & (p[last] - p[first] <= FRAGMENT - Q)
+            for k in range(BOUND):
+                good[order[k : len(o) - BOUND + 1 + k][full]] = True
+        if not good.any():
+            return set()
+        owner, place, diagonal = owner[good], place[good], diagonal[good]
+        order = np.lexsort((place, diagonal, owner))
+        owner, place, diagonal = owner[order], place[order], diagonal[order]
+        breaks = (np.diff(owner) != 0) | (np.diff(diagonal) != 0) | (np.diff(place) != 1)
+        starts = np.flatnonzero(np.concatenate([[True], breaks]))
+        runs = np.diff(np.append(starts, len(owner)))
+        text, out = as_text(a), set()
+        for s in starts[runs > 1].tolist():  # a stretch holds a run of at least Q + 1 characters
+            hit = self._align(text, int(owner[s]), int(place[s]), int(place[s] + diagonal[s]))
+            if hit:
+                out.add(hit)
+        return out
+
+    def _align(self, text: str, k: int, place: int, at: int) -> tuple[int, int, int, int] | None:
+        """The longest stretch through this place with the fewest edits that will do: (item, start, end, edits) or None."""
+        item, x, sizes = self.items[k]
+        left = reach(x[:place][::-1], text[max(0, at - place - EDITS) : at][::-1], EDITS)
+        right = reach(x[place:], text[at : at + len(x) - place + EDITS], EDITS)
+        for size, most in sizes:
+            for edits in range(most + 1):
+                n, m = max((left[m][0] + right[edits - m][0], m) for m in range(edits + 1))
+                if n >= size:
+                    return item, at - left[m][1], at + right[edits - m][1], edits
+        return None
 
 
 def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFrame]:

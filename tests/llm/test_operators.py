@@ -87,6 +87,56 @@ def test_decontamination_equals_brute_force(spark):
     assert [r.doc_id for r in decontamination.clean(docs, spark.createDataFrame(items, "item_id long, text string")).collect()] == [2, 4, 5]
 
 
+def least_edits(pattern, text):
+    """Of the pattern against any stretch of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_decontamination_finds_fragments_at_every_place():
+    rng = random.Random(12)
+    item = words(rng, 40)
+    index = decontamination.Index([(7, item), (8, words(rng, 40))])
+    for size in (40, 41, 60, 80, 100):
+        for start in range(len(item) - size + 1):
+            part = item[start : start + size].strip()
+            if len(part) >= 40:
+                text = words(rng, 20) + " " + part + " " + words(rng, 20)
+                found = index.find(text)
+                assert [x[0] for x in found] == [7] and found[0][3] == 0
+                assert part in text[found[0][1] - 1 : found[0][2] + 1], (start, size)
+    for step in (8, 10, 13):  # one word in so many is another
+        own = item.split()
+        for first in range(step):
+            text = " ".join("z" * 7 if k % step == first else w for k, w in enumerate(own))
+            stretches = [len(x.strip()) for x in text.split("z" * 7)]
+            assert max(stretches) < 40 or {x[0] for x in index.find(text)} == {7}
+    assert index.find(words(rng, 400)) == []
+
+
+def test_decontamination_equals_alignment_of_every_window():
+    rng, found = random.Random(13), 0
+    for turn in range(60):
+        item = words(rng, 30)[: rng.choice([33, 39, 45, 62, 70, 79, 95])].strip()
+        start = rng.choice([0, 0, rng.randrange(max(1, len(item) - 40))])
+        part = list(item[start : start + rng.choice([36, 41, 50, 60, 95])])
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(part))
+            part[k : k + 1] = rng.choice([["z"], [], [part[k], "z"]])
+        text = " ".join((words(rng, 4) + " " + "".join(part) + " " + words(rng, 4)).split())
+        n = min(len(item), 40)
+        want = any(least_edits(item[s : s + n], text) <= int(n * 0.05) for s in range(len(item) - n + 1))
+        want = want or (len(item) < 80 and least_edits(item, text) <= int(len(item) * 0.05))
+        assert bool(decontamination.Index([(1, item)]).find(text)) == want, (item, text)
+        found += want
+    assert 15 < found < 55
+
+
 def test_chat_events_and_digests(spark):
     log = [(1, 0, 0, 1, "start", "user", "hi"), (1, 1, 0, 2, "start", "assistant", "a"), (1, 1, 0, 3, "delta", None, "b"), (1, 1, 0, 4, "regenerate", None, ""), (1, 1, 0, 5, "delta", None, "c<|x"), (1, 0, 0, 6, "edit", None, "ho"), (2, 0, 0, 1, "delta", None, None)]
     folded = chat.fold(spark.createDataFrame(log, "conv_id long, message long, part long, seq long, kind string, role string, text string"))
