@@ -24,7 +24,7 @@ WHOLE = 80  # shorter items are looked for as a whole, too, which allows more ed
 RATE = 0.05  # edits per character
 EDITS = int((WHOLE - 1) * RATE)  # the most in one stretch
 BOUND = FRAGMENT + 1 - Q * (int(FRAGMENT * RATE) + 1)  # shared q-grams; a shorter or whole item needs no fewer among as many places
-LEAST = 30  # shorter items can't be told from chance
+LEAST = 30  # shorter items can't be told from chance by parts of them; those are looked for as a whole, word by word
 BLOCK_CHARS = 8_000_000  # of benchmark text per index; a larger benchmark is scanned for in several blocks
 _TABLE: list[np.ndarray] = []
 
@@ -102,12 +102,15 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items: list[tuple[int, str, list[tuple[int, int]]]] = []  # id, normalised text, (characters, edits) that count as found
+        self.short: dict[str, list[tuple[int, list[str]]]] = {}  # first word: (id, words) of items below LEAST
         h: list[np.ndarray] = []
         for item, text in items:
             a, _ = normalise(text or "")
             if len(a) and a[-1] == 32:
                 a = a[:-1]
             if len(a) < LEAST:
+                if words := as_text(a).split():
+                    self.short.setdefault(words[0], []).append((item, words))
                 continue
             sizes = sorted({min(len(a), FRAGMENT), len(a) if len(a) < WHOLE else FRAGMENT})
             self.items.append((item, as_text(a), [(n, int(n * RATE)) for n in sizes]))
@@ -124,15 +127,27 @@ class Index:
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, start, end, edits) of stretches of the text within the edit budget of a fragment; none within another of its item."""
-        if not self.items or len(text) < LEAST - 5:
+        if not self.short and (not self.items or len(text) < LEAST - 5):
             return []
         a, places = normalise(text)
         out: list[tuple[int, int, int, int]] = []
-        for item, start, end, edits in sorted(self._stretches(a), key=lambda x: (x[0], x[1], -x[2], x[3])):
+        for item, start, end, edits in sorted(self._stretches(a) | self._short_items(a), key=lambda x: (x[0], x[1], -x[2], x[3])):
             if not out or out[-1][0] != item or end > out[-1][2]:
                 out.append((item, start, end, edits))
         return [(item, int(places[start]), int(places[end - 1]) + 1, edits) for item, start, end, edits in out]
 
+    def _short_items(self, a: np.ndarray) -> set[tuple[int, int, int, int]]:
+        """Exact copies of the short items on word borders."""
+        if not self.short:
+            return set()
+        words, at, out = as_text(a).split(), 0, set()
+        for k, word in enumerate(words):
+            for item, own in self.short.get(word, ()):
+                if words[k : k + len(own)] == own:
+                    out.add((item, at, at + sum(map(len, own)) + len(own) - 1, 0))
+            at += len(word) + 1
+        return out
+
     def _stretches(self, a: np.ndarray) -> set[tuple[int, int, int, int]]:
         h = grams(a)
         at = np.flatnonzero(self.filter[(h >> np.uint64(64 - self.bits)).astype(np.int64)])
@@ -194,7 +209,7 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFra
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, contaminated, item_ids (distinct, sorted), spans (item_id, start, end, edits).
 
-    Null and empty texts, and benchmark items that are null, empty or below LEAST characters, match nothing. Repeated
+    Null and empty texts, and benchmark items without letters or digits, match nothing. Repeated
     items count once; repeated documents give repeated results.
     """
     span = pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())])

@@ -137,6 +137,15 @@ def test_decontamination_equals_alignment_of_every_window():
     assert 15 < found < 55
 
 
+def test_decontamination_finds_short_items_on_word_borders():
+    index = decontamination.Index([(1, "What is the capital of France?"), (2, "..."), (3, None), (4, "the capital"), (5, "capital")])
+    text = "Well, what is  THE capital of France - do say"
+    assert [(x[0], text[x[1] : x[2]]) for x in index.find(text)] == [(1, "what is  THE capital of France"), (4, "THE capital"), (5, "capital")]
+    assert index.find("what is the capitals of France") == [] and index.find("of Capital") == [(5, 3, 10, 0)] and index.find("") == []
+    long = "one two three four five six seven eight nine ten"
+    assert [x[0] for x in decontamination.Index([(1, long), (2, "What is the capital of France?")]).find(f"{long}! What is the capital of france")] == [1, 2]
+
+
 def test_chat_events_and_digests(spark):
     log = [(1, 0, 0, 1, "start", "user", "hi"), (1, 1, 0, 2, "start", "assistant", "a"), (1, 1, 0, 3, "delta", None, "b"), (1, 1, 0, 4, "regenerate", None, ""), (1, 1, 0, 5, "delta", None, "c<|x"), (1, 0, 0, 6, "edit", None, "ho"), (2, 0, 0, 1, "delta", None, None)]
     folded = chat.fold(spark.createDataFrame(log, "conv_id long, message long, part long, seq long, kind string, role string, text string"))
