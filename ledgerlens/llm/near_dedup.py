@@ -264,16 +264,18 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """docs with one row of each class: its smallest doc_id. Rows without words, which stand alone, and rows with null ids stay.
+    """docs with one row of each class: its smallest doc_id. Rows without words stand alone; of those, repeated ids go.
 
-    Repeated rows of a kept doc_id would all stay, so those ids alone (few or none) go through a second step.
+    Where ids are repeated or null (few or none), each row gets a number of its own, in the order of the ids with nulls
+    last, and the classes are those of the rows: rows of one id stay where their texts are no near-duplicates.
     """
-    found = saved(classes(docs))
-    counts = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"))
-    kept = docs.where("doc_id is not null").join(counts, "doc_id")
-    once = kept.where("_n = 1").select(docs.columns)
-    twice = kept.where("_n > 1").select(docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(twice).unionByName(docs.where("doc_id is null"))
+    if docs.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1 or doc_id is null").isEmpty():
+        return docs.join(saved(classes(docs)).where("kept").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    rows = saved(docs.orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id()))
+    found = saved(classes(rows.select(F.col("_row").alias("doc_id"), "text")))
+    kept = rows.join(found.where("kept").select(F.col("doc_id").alias("_row"), "n_shingles"), "_row")
+    bare = kept.where("n_shingles = 0 and doc_id is not null").dropDuplicates(["doc_id"])
+    return kept.where("n_shingles > 0 or doc_id is null").unionByName(bare).select(docs.columns)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

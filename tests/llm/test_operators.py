@@ -206,6 +206,18 @@ def test_near_dedup_equals_brute_force(spark):
     assert near_dedup.deduplicated(docs).count() == sum(top(k) == k for k in range(len(texts)))
 
 
+def test_deduplicated_with_repeated_and_null_ids(spark):
+    rng = random.Random(16)
+    a, b, c, d, e = (words(rng, 60) for _ in range(5))
+    rows = [(5, a), (5, b), (5, b + " more"), (3, a), (9, b), (None, c), (None, c), (None, a), (None, d), (7, d), (8, e), (8, e), (4, ""), (4, None), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(k, t, None, None, 0) for k, t in rows], DOC)
+    got = near_dedup.deduplicated(docs)
+    assert got.columns == docs.columns
+    full = [(r.doc_id, r.text) for r in got.collect()]
+    by_id = sorted((k if k is not None else 99, {a: "a", b: "b", b + " more": "b", c: "c", d: "d", e: "e"}.get(t, "")) for k, t in full)
+    assert by_id == [(3, "a"), (4, ""), (5, "b"), (7, "d"), (8, "e"), (99, ""), (99, ""), (99, "c")]
+
+
 def test_quality_trees(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, len(quality_trees.FEATURES)))
