@@ -40,6 +40,17 @@ def test_bpe_equals_tiktoken_and_edits(vocabulary):
         a = rng.randint(0, len(text))
         edited.replace(a, min(len(text), a + 2), rng.choice(parts))
         assert edited.ids() == own.encode(edited.text)
+    small = bpe.Encoder(vocabulary, words=40)  # words leave the store all the time
+    for _ in range(300):
+        text = " ".join("".join(rng.choices("aeinrst", k=rng.randint(1, 90))) + rng.choice(["", ".", ",", "!", "\n", "\x00"]) for _ in range(rng.randint(0, 12)))
+        assert small.encode(text) == other.encode_ordinary(text) and len(small.seen) <= 20 + 12
+    word = "".join(rng.choices("aeinrst", k=5000))
+    edited = bpe.EditableEncoding(own, word)
+    done = edited.bytes_done
+    for at in (4900, 4950, 4000):
+        edited.replace(at, at + 1, "xy")
+        assert edited.ids() == other.encode_ordinary(edited.text)
+    assert edited.bytes_done - done < 1500  # only what follows the edits
     table = bpe.PrefixEncoder(vocabulary).append(b"hello").append(b"world")
     assert table.ids() == bpe.PrefixEncoder(vocabulary).append(b"helloworld").ids()
     assert table.truncate(5).ids() == own.piece(b"hello")
