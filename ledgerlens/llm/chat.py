@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import table
+from ledgerlens.llm.common import in_arrow, table
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: Kinds of events. The first three set a message's text to their own and drop what came before; a delta adds to it.
@@ -163,9 +163,9 @@ def conversation_digests(messages: DataFrame) -> DataFrame:
     """
     keys = ["conv_id", "message", "part"]
     staged = messages.select(*keys, "role", "text").repartitionByRange(*keys).sortWithinPartitions(*keys)
-    staged = staged.mapInArrow(_pieces, "conv_id long, message long, part long, piece long, open boolean, n_turns long, turns binary, loss binary, loss_chars long, formatted_chars long")
+    staged = in_arrow(staged, _pieces, "conv_id long, message long, part long, piece long, open boolean, n_turns long, turns binary, loss binary, loss_chars long, formatted_chars long")
     order = ["conv_id", "message", "part", "piece"]
-    return staged.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return in_arrow(staged.repartition("conv_id").sortWithinPartitions(*order), _digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def events_of(rows: DataFrame) -> DataFrame:

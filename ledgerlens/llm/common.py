@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 
 #: Spark's setting that deletes a query's shuffle files at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's setting for the size of a batch that goes to Python, and the most that the operators let it be.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Make DataFrame.checkpoint() usable: the cluster's shared folder, or a temporary one where none is set."""
+    """Make DataFrame.checkpoint() usable: the cluster's shared folder; on one machine, a temporary one where none is set."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerlens-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ledgerlens-"))
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -53,6 +58,26 @@ def sampled(ids: DataFrame, key: str, at_most: int, seed: int) -> DataFrame:
     return ids.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < F.lit(int(1e6 * at_most / n)))
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow(run, schema), in batches of at most about BATCH_BYTES (the session's setting is lowered to that).
+
+    A Python worker serves many tasks, and both it and the JVM keep the room of the largest batch; what a task has
+    freed is given back at its end.
+    """
+    conf = df.sparkSession.conf
+    now = conf.get(BATCH_SETTING, str(BATCH_BYTES + 1))
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(task, schema)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[tuple] | list[tuple]]], schema: pa.Schema, ddl: str) -> DataFrame:
     """mapInArrow with a per-task function: make() builds the state once a task, its result turns a batch into rows.
 
@@ -71,7 +96,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterat
             if rows:
                 yield _batch(rows, schema)
 
-    return df.mapInArrow(run, ddl)
+    return in_arrow(df, run, ddl)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

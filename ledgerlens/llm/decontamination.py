@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import map_rows, table
+from ledgerlens.llm.common import in_arrow, map_rows, table
 
 Q = 12
 FRAGMENT = 40  # normalised characters; any so many of an item are looked for
@@ -237,7 +237,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([not any(i.value.find(t.as_py() or "") for i in indexes) for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import held_out, map_rows, sampled, table
+from ledgerlens.llm.common import held_out, in_arrow, map_rows, sampled, table
 
 DIM = 1024
 TRAIN_ROWS = 20_000  # training reads about so many rows, chosen by a hash of the id
@@ -118,7 +118,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
         for lang, v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * DIM), pa.array(np.arange(DIM, dtype=np.int32)), pa.array(v)], schema=schema)
 
-    sums = chosen.mapInArrow(run, "lang string, dim int, value double").groupBy("lang", "dim").agg(F.sum("value").alias("value")).collect()
+    sums = in_arrow(chosen, run, "lang string, dim int, value double").groupBy("lang", "dim").agg(F.sum("value").alias("value")).collect()
     out: dict[str, np.ndarray] = {}
     for r in sums:
         out.setdefault(r.lang, np.zeros(DIM))[r.dim] = r.value

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import saved, table
+from ledgerlens.llm.common import in_arrow, saved, table
 
 WIDTH = 5  # words in a shingle
 M, R = 12, 2  # half keys in a collection, minhashes in a half key
@@ -110,7 +110,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
         _WORDS.clear()  # the worker lives on for other stages
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, half array<long>, mins array<long>")
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, n_shingles long, h1 long, h2 long, half array<long>, mins array<long>")
 
 
 def bins_of(s: np.ndarray) -> np.ndarray:
@@ -133,7 +133,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 256], pa.int64()), pa.array([x.view(np.int64) for x in part], schema.field("s").type), pa.array(map(bins_of, part), schema.field("bins").type)], schema=schema)
         _WORDS.clear()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s array<long>, bins array<long>")
+    return in_arrow(docs.select("doc_id", "text"), run, "doc_id long, s array<long>, bins array<long>")
 
 
 def packed_mins(best: np.ndarray) -> np.ndarray:

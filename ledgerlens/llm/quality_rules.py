@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import map_rows, table
+from ledgerlens.llm.common import in_arrow, map_rows, table
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stutter"]
 #: Bit k is set where rule k fails; each rule reads measures only.
@@ -102,7 +102,7 @@ def kept(docs: DataFrame, policy: str, text_column: str = "text") -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([not failures(measure(t.as_py() or "")) & m for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
 
 
 def ablation(entries: DataFrame, policy: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import held_out, map_rows, sampled, saved, table
+from ledgerlens.llm.common import held_out, in_arrow, map_rows, sampled, saved, table
 from ledgerlens.llm.quality_rules import repeated_words
 
 TRAIN_ROWS = 40_000  # labelled rows that training reads, about; their statistics are a few hundred bytes each
@@ -126,7 +126,7 @@ def score(stats: DataFrame, trees: Trees) -> DataFrame:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees.score(x))], names=["doc_id", "score"])
 
-    return stats.mapInArrow(run, "doc_id long, score double")
+    return in_arrow(stats, run, "doc_id long, score double")
 
 
 def op7_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import held_out, map_rows, sampled, saved, table
+from ledgerlens.llm.common import held_out, in_arrow, map_rows, sampled, saved, table
 
 TRAIN_ROWS = 8_000  # labelled rows that training reads, about; chosen by a hash of the id
 MOST_FEATURES = 20_000
+MOST_WORDS, MOST_COUNTED = 100_000, 250_000  # that a task remembers; then it forgets the words, and sends the counts on
 THRESHOLD = 0.3
 SENTENCE = re.compile(r"[.!?\n]+")
 WORD = re.compile(r"\w+")
@@ -55,7 +56,7 @@ class Model:
         for w in words:
             v = seen.get(w)
             if v is None:
-                if len(seen) > 300_000:
+                if len(seen) > MOST_WORDS:
                     seen.clear()
                 v = seen[w] = self.word(w)
             total += v
@@ -114,7 +115,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = {f for w in words for f in features(w)}
             (toxic if y > 0 else other).update(found)
             n[y > 0] += 1
-            if len(toxic) + len(other) > 1_000_000:
+            if len(toxic) + len(other) > MOST_COUNTED:
                 yield from out()
     yield from out()
     yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([n[1]]), pa.array([n[0]])], schema=schema)
@@ -123,7 +124,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
     """Weights of a Model. With no toxic or no other document in the sample: the share of toxic ones for any sentence."""
     sample = saved(labelled(documents, labels, label, rows))
-    counts = sample.mapInArrow(_counts, "f string, p long, n long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    counts = in_arrow(sample, _counts, "f string, p long, n long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     counts = saved(counts.where("p > 0"))
     total = [r for r in counts.where("f = ''").collect()]
     n_toxic = total[0].p if total else 0
@@ -154,7 +155,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", rows: i
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    got = sample.mapInArrow(bags, "y double, n long, sizes array<int>, ids array<int>").toArrow().to_pydict()
+    got = in_arrow(sample, bags, "y double, n long, sizes array<int>, ids array<int>").toArrow().to_pydict()
     return Model(*_fit(got, index, start))
 
 
@@ -216,7 +217,7 @@ def flagged(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([own.score(t.as_py() or "") < THRESHOLD for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
