@@ -58,6 +58,29 @@ def sampled(ids: DataFrame, key: str, at_most: int, seed: int) -> DataFrame:
     return ids.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < F.lit(int(1e6 * at_most / n)))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many _ at its end as it takes to be none of df's columns (whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], count: str, total: int, by: Column, how: str = "inner") -> DataFrame:
+    """many.join(one, keys, how) where one has a row for each key, and in count how many rows of many have it.
+
+    Keys of more than a thousandth of the total rows (256 at least) are dealt to several tasks, by a hash of `by`: there
+    are at most a thousand such keys, whose list is broadcast. how: inner or left. Keys that are null match nothing.
+    """
+    most = max(256, total // 1000)
+    parts = F.ceil(F.col(count) / F.lit(most)).cast("int")
+    n, salt = fresh(many, "_parts"), fresh(many, "_salt")
+    hot = one.where(F.col(count) > most).select(*keys, parts.alias(n))
+    dealt = many.join(F.broadcast(hot), keys, "left").withColumn(salt, F.pmod(F.xxhash64(by), F.coalesce(n, F.lit(1))).cast("int")).drop(n)
+    each = one.withColumn(salt, F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))).drop(count)
+    return dealt.join(each, [*keys, salt], how).drop(salt)
+
+
 def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """df.mapInArrow(run, schema), in batches of at most about BATCH_BYTES (the session's setting is lowered to that).
 

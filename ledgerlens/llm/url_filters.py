@@ -1,7 +1,9 @@
 """URL filters: rules indexed by their rarest literal token; a URL's tokens fetch the rules worth running.
 
-All in DataFrame expressions. The index is a literal of the plan: buckets of token to rules, so that a lookup costs
-the same for ten rules and for ten thousand. Nothing is shuffled but the counts of the rules' own tokens.
+All in DataFrame expressions. The index of up to IN_PLAN rules is a literal of the plan: a map from token to rules, whose
+entries Spark compares one by one, so a lookup's cost grows with the number of tokens; nothing is shuffled but the counts
+of the rules' own tokens. A longer list is a table, which the distinct tokens of distinct URLs are joined with by hash;
+Spark broadcasts it while it is small enough, and shuffles both sides beyond that, so there is no longest list.
 """
 
 from __future__ import annotations
@@ -11,12 +13,13 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import table
+from ledgerlens.llm.common import fresh, table
 
 #: (rule text, verdict): host, then the path prefix from the first slash on.
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 TOKEN = "[^A-Za-z0-9]+"
-MOST_RULES = 20_000  # the index is part of the plan; more rules belong into several passes
+IN_PLAN = 64  # rules in the plan's literal; longer lists are joined
+ENTRY = "struct<rule:string,pattern:string,verdict:string,n:int>"
 
 
 def host_of(url: Column) -> Column:
@@ -56,15 +59,15 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, default: str =
     """Per row: id, host, path, rule (the longest that fits, else null), verdict (the rule's, else default).
 
     A null url or one without :// has an empty host and path, fits no rule and gets the default. Repeated rows give
-    repeated results. Of equal rules the first given counts.
+    repeated results, null ids too; other columns are ignored. Of equal rules the first given counts; of different
+    rules equally long no two can fit one url but by a host and a longer host, of which the larger by name counts.
     """
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MOST_RULES} go into one plan")
     own = pages.select(F.col(id_column), host_of(F.col(url_column)).alias("host"), path_of(F.col(url_column)).alias("path"))
-    own = own.withColumn("_text", F.concat("host", "path"))
+    text = fresh(own, "_text")
+    own = own.withColumn(text, F.concat("host", "path"))
     rules = list(dict(reversed(rules)).items())[::-1]
     wanted = sorted({t for r, _ in rules for t in literals(r)})
-    seen = token_counts(own, "_text", wanted) if wanted else {}
+    seen = token_counts(own, text, wanted) if wanted else {}
     index: dict[str, list[tuple[str, str, str]]] = {}
     always = []
     for rule, verdict in rules:
@@ -76,23 +79,24 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, default: str =
 
     def entries(rows: list[tuple[str, str, str]]) -> Column:
         structs = [F.struct(F.lit(r).alias("rule"), F.lit(p).alias("pattern"), F.lit(v).alias("verdict"), F.lit(len(r)).alias("n")) for r, p, v in rows]
-        return F.array(*structs) if structs else F.lit(None).cast("array<struct<rule:string,pattern:string,verdict:string,n:int>>")
-
-    #: Buckets by the token's length and first character keep each map short.
-    buckets: dict[str, list[str]] = {}
-    for token in index:
-        buckets.setdefault(f"{len(token)}{token[0]}", []).append(token)
-    if len(index) <= 64:
-        fetch = lambda t: F.coalesce(F.try_element_at(F.create_map(*[c for k, v in index.items() for c in (F.lit(k), entries(v))]), t), entries([]), F.array().cast("array<struct<rule:string,pattern:string,verdict:string,n:int>>"))
+        return F.array(*structs) if structs else F.array().cast(f"array<{ENTRY}>")
+
+    def best_of(candidates: Column) -> Column:
+        fits = F.filter(candidates, lambda r: F.regexp_like(F.col(text), r["pattern"]))
+        return F.array_max(F.transform(fits, lambda r: F.struct(r["n"].alias("n"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
+
+    if len(rules) <= IN_PLAN:
+        fetch = lambda t: F.coalesce(F.try_element_at(F.create_map(*[c for k, v in index.items() for c in (F.lit(k), entries(v))]), t), entries([]))
+        candidates = F.flatten(F.transform(tokens_of(F.col(text)), fetch)) if index else entries([])
+        judged = own.withColumn("_best", best_of(F.concat(candidates, entries(always))))
     else:
-        tree = F.create_map(*[c for b, ts in buckets.items() for c in (F.lit(b), F.create_map(*[c for t in ts for c in (F.lit(t), entries(index[t]))]))])
-        fetch = lambda t: F.coalesce(F.try_element_at(F.try_element_at(tree, F.concat(F.length(t).cast("string"), F.substring(t, 1, 1))), t), F.array().cast("array<struct<rule:string,pattern:string,verdict:string,n:int>>"))
-    candidates = F.flatten(F.transform(tokens_of(F.col("_text")), fetch)) if index else F.array().cast("array<struct<rule:string,pattern:string,verdict:string,n:int>>")
-    if always:
-        candidates = F.concat(candidates, entries(always))
-    fits = F.filter(candidates, lambda r: F.regexp_like(F.col("_text"), r["pattern"]))
-    best = F.array_max(F.transform(fits, lambda r: F.struct(r["n"].alias("n"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
-    return own.withColumn("_best", best).select(id_column, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+        spark = pages.sparkSession
+        by_token = spark.createDataFrame([(t, r, p, v, len(r)) for t, rows in index.items() for r, p, v in rows], "token string, rule string, pattern string, verdict string, n int")
+        urls = own.select(text).distinct()
+        found = urls.withColumn("token", F.explode(tokens_of(F.col(text)))).join(by_token, "token").where(F.regexp_like(F.col(text), F.col("pattern")))
+        found = found.groupBy(text).agg(F.max(F.struct("n", "rule", "verdict")).alias("_found"))
+        judged = own.join(found, text, "left").withColumn("_best", F.greatest("_found", best_of(entries(always))))
+    return judged.select(id_column, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
