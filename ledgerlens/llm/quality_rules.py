@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerlens.llm.common import in_arrow, map_rows, table
+from ledgerlens.llm.common import fresh, in_arrow, map_rows, table
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stutter"]
 #: Bit k is set where rule k fails; each rule reads measures only.
@@ -21,7 +23,6 @@ RULES = {
     "word_length": "word_chars < 2 * n_words or word_chars > 14 * n_words",
     "stutter": "100 * n_stutter > 20 * n_words",
 }
-COMPILED = [compile(r, "rule", "eval") for r in RULES.values()]  # the same text is valid SQL and Python
 #: Versions of policies: the rules that reject a document. A policy is a mask, so changing one needs no new pass over texts.
 POLICIES = {"base": ["few_words", "repeated_windows"], "v1": list(RULES)}
 
@@ -62,10 +63,20 @@ def repeated_words(h: np.ndarray, window: int = 8) -> int:
     return int((np.cumsum(edge) > 0).sum())
 
 
+def _bits(measures: Callable[[str], str]) -> Column:
+    """The rules' bits, given how SQL names a measure."""
+    total = F.lit(0).cast("long")
+    for k, rule in enumerate(RULES.values()):
+        own = re.sub(r"\b(" + "|".join(MEASURES) + r")\b", lambda m: measures(m[1]), rule)
+        total = total.bitwiseOR(F.when(F.expr(own), F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
+    return total
+
+
 def ledger(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of docs: id, the measures, failures (bit k: rule k of RULES failed).
 
-    Null text counts as empty: all measures 0, and few_words fails. Repeated rows give repeated results.
+    Null text counts as empty: all measures 0, and few_words fails. Repeated rows and null ids give their own rows, no
+    rows give none; other columns are ignored.
     """
 
     def make():
@@ -77,32 +88,34 @@ def ledger(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
     schema = pa.schema([(id_column, pa.int64()), *((m, pa.int64()) for m in MEASURES)])
     out = map_rows(docs.select(F.col(id_column).cast("long"), F.col(text_column).cast("string")), make, schema, f"{id_column} long, " + ", ".join(f"{m} long" for m in MEASURES))
-    bits = [F.when(F.expr(rule), F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k, rule in enumerate(RULES.values())]
-    total = bits[0]
-    for b in bits[1:]:
-        total = total.bitwiseOR(b)
-    return out.withColumn("failures", total)
+    return out.withColumn("failures", _bits(lambda m: m))
 
 
 def apply_policy(entries: DataFrame, policy: str, column: str = "kept") -> DataFrame:
     return entries.withColumn(column, F.col("failures").bitwiseAND(F.lit(mask(POLICIES[policy])).cast("long")) == 0)
 
 
-def failures(measures: tuple[int, ...]) -> int:
-    """The ledger's bits for one text's measures, as the SQL of RULES gives them."""
-    m = dict(zip(MEASURES, measures, strict=True))
-    return sum(1 << k for k, rule in enumerate(COMPILED) if eval(rule, {}, m))
-
-
-def kept(docs: DataFrame, policy: str, text_column: str = "text") -> DataFrame:
-    """The rows of docs that the policy keeps, with all their columns, in one pass."""
-    at, m = docs.columns.index(text_column), mask(POLICIES[policy])
+def with_ledger(docs: DataFrame, column: str, text_column: str = "text") -> DataFrame:
+    """docs with one more column: its ledger entry, a struct of the measures and failures."""
+    at, kind = docs.columns.index(text_column), pa.struct([(m, pa.int64()) for m in MEASURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([not failures(measure(t.as_py() or "")) & m for t in batch.column(at)], pa.bool_()))
+            entries = [dict(zip(MEASURES, measure(t.as_py() or ""), strict=True)) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(entries, kind)], names=[*batch.schema.names, column])
+
+    measured = in_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(column, T.StructType([T.StructField(m, T.LongType()) for m in MEASURES]))]))
+    return measured.withColumn(column, F.struct(f"{column}.*", _bits(lambda m: f"`{column}`.{m}").alias("failures")))
 
-    return in_arrow(docs, run, docs.schema)
+
+def kept(docs: DataFrame, policy: str, text_column: str = "text") -> DataFrame:
+    """The rows of docs that the policy keeps, with all their columns: each row gets its ledger entry, the policy reads its bits.
+
+    Null text counts as empty, which few_words rejects. Repeated rows and null ids are judged each for itself.
+    """
+    column = fresh(docs, "_entry")
+    judged = with_ledger(docs, column, text_column)
+    return judged.where(F.col(f"{column}.failures").bitwiseAND(F.lit(mask(POLICIES[policy])).cast("long")) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def ablation(entries: DataFrame, policy: str) -> DataFrame:
@@ -119,10 +132,15 @@ def ablation(entries: DataFrame, policy: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = apply_policy(apply_policy(ledger(table(spark, sf_dir, "documents")), "v1"), "base", "base_kept")
-    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("base_kept")).alias("base_failed"), "kept")
+    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("base_kept")).alias("base_failed"), "kept", "n_lines", "n_stutter", "failures")
 
 
-OP8_SQL = r"""
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of policy v1 does to documents: how many fail it, and how many only it rejects."""
+    return ablation(ledger(table(spark, sf_dir, "documents")), "v1")
+
+
+_MEASURED = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
@@ -134,11 +152,21 @@ st AS (SELECT rid, count(*) AS n FROM (SELECT rid, unnest(words) AS a, unnest(wo
 m AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, coalesce(st.n, 0) AS n_stutter
-      FROM w LEFT JOIN c USING (rid) LEFT JOIN st USING (rid))
+      FROM w LEFT JOIN c USING (rid) LEFT JOIN st USING (rid)),
+b AS (SELECT *, """ + " + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(RULES.values())) + """ AS failures FROM m)
+"""
+OP8_SQL = _MEASURED + r"""
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
   (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
-       OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR 100 * n_stutter > 20 * n_words) AS kept
-FROM m
+       OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR 100 * n_stutter > 20 * n_words) AS kept,
+  CAST(n_lines AS BIGINT) AS n_lines, CAST(n_stutter AS BIGINT) AS n_stutter, CAST(failures AS BIGINT) AS failures
+FROM b
 """
+ABLATION_SQL = (
+    _MEASURED
+    + ", bits(rule, bit) AS (VALUES "
+    + ", ".join(f"('{rule}', {1 << k})" for k, rule in enumerate(RULES))
+    + ") SELECT rule, count(*) AS n_failed, count(*) FILTER (WHERE failures = bit) AS n_only FROM b, bits WHERE failures & bit <> 0 GROUP BY rule"
+)
