@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import held_out, in_arrow, map_rows, sampled, table
 
 DIM = 1024
+BLOCK = 4096  # distinct trigrams whose vectors are held at once
 TRAIN_ROWS = 20_000  # training reads about so many rows, chosen by a hash of the id
 _ALPHA: list[np.ndarray] = []
 _VECTORS: dict[int, np.ndarray] = {}
@@ -52,13 +53,18 @@ def codes(text: str) -> np.ndarray:
 
 
 def bundles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of trigrams per text (texts x trigrams, float32) and the trigrams' vectors (trigrams x DIM)."""
+    """The texts' bundles (texts x DIM) and how many trigrams each has.
+
+    Distinct trigrams are taken in blocks of BLOCK: their vectors are bound, and times their counts added to the
+    texts' bundles. So room for vectors and counts is that of a block, however long or varied the texts.
+    """
     each = [codes(t) for t in texts]
     flat = np.concatenate(each) if each else np.zeros(0, np.uint32)
+    out, sizes = np.zeros((len(texts), DIM), np.float32), np.array([max(0, len(e) - 2) for e in each], np.int64)
     if len(flat) < 3:
-        return np.zeros((len(texts), 1), np.float32), np.zeros((1, DIM), np.float32)
+        return out, sizes
     used, dense = np.unique(flat, return_inverse=True) if len(flat) < 4096 or flat.max() > 0xFFFF else _dense(flat)
-    owner = np.repeat(np.arange(len(each)), [max(0, len(e) - 2) for e in each])
+    owner = np.repeat(np.arange(len(each), dtype=np.int32), sizes)
     starts = np.concatenate([np.arange(max(0, len(e) - 2)) + at for e, at in zip(each, np.cumsum([0, *map(len, each[:-1])]), strict=True)])
     n = len(used)
     dense = dense.astype(np.int64)
@@ -70,10 +76,19 @@ def bundles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         column = place[gram]
     else:
         present, column = np.unique(gram, return_inverse=True)
-    counts = np.bincount(owner * len(present) + column, minlength=len(each) * len(present)).reshape(len(each), -1).astype(np.float32)
-    letters = np.stack([letter_vector(int(c)) for c in used])
-    vectors = np.roll(letters, 2, axis=1)[present // (n * n)] * np.roll(letters, 1, axis=1)[present // n % n] * letters[present % n]
-    return counts, vectors.astype(np.float32)
+    if len(present) > BLOCK:
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+    cuts = np.searchsorted(column, np.arange(0, len(present) + BLOCK, BLOCK)) if len(present) > BLOCK else np.array([0, len(column)])
+    for k, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        own = present[k * BLOCK : (k + 1) * BLOCK]
+        vectors = np.ones((len(own), DIM), np.float32)
+        for shift, place in ((2, own // (n * n)), (1, own // n % n), (0, own % n)):
+            letters, which = np.unique(place, return_inverse=True)
+            vectors *= np.roll(np.stack([letter_vector(int(used[c])) for c in letters]), shift, axis=1)[which]
+        counts = np.bincount(owner[low:high].astype(np.int64) * len(own) + column[low:high] - k * BLOCK, minlength=len(each) * len(own))
+        out += counts.reshape(len(each), -1).astype(np.float32) @ vectors
+    return out, sizes
 
 
 def _dense(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,10 +126,10 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
         for batch in batches:
             langs = batch.column(2).to_pylist()
             for at, texts in _groups(batch):
-                counts, vectors = bundles([t or "" for t in texts])
+                bundle, _ = bundles([t or "" for t in texts])
                 own = np.array(langs[at : at + len(texts)])
                 for lang in set(own.tolist()):
-                    total[lang] = total.get(lang, 0) + (counts[own == lang].sum(axis=0) @ vectors).astype(np.float64)
+                    total[lang] = total.get(lang, 0) + bundle[own == lang].astype(np.float64).sum(axis=0)
         for lang, v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * DIM), pa.array(np.arange(DIM, dtype=np.int32)), pa.array(v)], schema=schema)
 
@@ -126,7 +141,11 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
 
 
 def predict(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, lang_pred, score (the cosine, cut at 0); und and 0 where text is null or has no letter. Ties: the first by name."""
+    """doc_id, lang_pred, score (the cosine, cut at 0) of each row; repeated rows and null ids give their own rows.
+
+    und and 0 where text is null or has no letter, or no language was learned. Ties: the first by name. Other columns
+    of docs are ignored. A text is read whole, whatever its length.
+    """
     names = list(model)
     profile = np.stack([v / max(np.linalg.norm(v), 1e-9) for v in model.values()]).astype(np.float32) if names else np.zeros((0, DIM), np.float32)
 
@@ -134,11 +153,10 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             ids = batch.column(0).to_pylist()
             for at, texts in _groups(batch):
-                counts, vectors = bundles([t or "" for t in texts])
-                bundle = counts @ vectors
+                bundle, sizes = bundles([t or "" for t in texts])
                 length = np.sqrt((bundle * bundle).sum(axis=1))
                 cosine = (bundle @ profile.T) / np.maximum(length, 1e-9)[:, None]
-                letters = counts.sum(axis=1) > 0
+                letters = sizes > 0
                 for k in range(len(texts)):
                     if names and letters[k]:
                         best = int(np.argmax(cosine[k]))
