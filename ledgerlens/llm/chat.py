@@ -44,18 +44,66 @@ def parse(formatted: str) -> Iterator[tuple[str, str, tuple[int, int]]]:
         at = end + len(CLOSE) + 1
 
 
+STATES = pa.schema([("conv_id", pa.int64()), ("message", pa.int64()), ("part", pa.int64()), ("piece", pa.int64()), ("reset", pa.bool_()), ("role", pa.string()), ("text", pa.string())])
+
+
+def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted events (conv_id, message, part, kind, role, text, task) -> one state for each message that the task has events of.
+
+    A state is what its events do to whatever came before: reset (drop that text), the last role given, text to add.
+    The next state of a message, if a task with later events has one, applies to it in the same way.
+    """
+    rows: list[tuple] = []
+    key, task, reset, role, texts = None, 0, False, None, []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(col, type=f.type) for col, f in zip(zip(*rows, strict=True), STATES, strict=True)], schema=STATES)
+        rows.clear()
+
+    held = 0
+    for batch in batches:
+        for conv, message, part, kind, own_role, text, task in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+            if (conv, message, part) != key:
+                if key is not None:
+                    rows.append((*key, task, reset, role, "".join(texts)))
+                    held += len(rows[-1][-1])
+                    if len(rows) >= 2000 or held > PIECE:
+                        yield from out()
+                        held = 0
+                key, reset, role, texts = (conv, message, part), False, None, []
+            if kind in RESETS:
+                reset, texts = True, []
+            role = own_role if own_role is not None else role
+            if text:
+                texts.append(text)
+    if key is not None:
+        rows.append((*key, task, reset, role, "".join(texts)))
+    if rows:
+        yield from out()
+
+
 def fold(events: DataFrame) -> DataFrame:
     """events (conv_id, message, part, seq, kind, role, text) -> conv_id, message, part, role, text.
 
     Within a message (message and part name it and order it), events are sorted by seq, then kind, role and text; the
     last start, edit or regenerate sets the text, later deltas add to it; null text counts as empty. The role is that
-    of the last event that has one, else empty. Deltas with no reset before them add to an empty text.
+    of the last event that has one, else empty. Deltas with no reset before them add to an empty text. Repeated events
+    apply again; null ids and seq are values of their own, before all others.
+
+    Events are dealt by ranges of (conv_id, message, part, seq), so those of a conversation, and of a message, may
+    spread over tasks: each task folds its events, in one pass, into one state a message, and a message's states (as
+    many as tasks have events of it) are put together. The work grows in proportion to the log.
     """
     rank = F.coalesce(F.element_at(F.create_map(*[c for k, n in {"start": 0, "regenerate": 1, "edit": 2}.items() for c in (F.lit(k), F.lit(n))]), F.col("kind")), F.lit(3))
-    event = F.struct(F.col("seq"), rank.alias("rank"), F.col("role"), F.coalesce("text", F.lit("")).alias("text"))
-    log = events.groupBy("conv_id", "message", "part").agg(F.sort_array(F.collect_list(event)).alias("log"))
-    state = F.aggregate("log", F.struct(F.lit("").alias("role"), F.array().cast("array<string>").alias("parts")), lambda s, e: F.struct(F.coalesce(e["role"], s["role"]).alias("role"), F.when(e["rank"] < 3, F.array(e["text"])).otherwise(F.concat(s["parts"], F.array(e["text"]))).alias("parts")))
-    return log.withColumn("s", state).select("conv_id", "message", "part", F.col("s.role").alias("role"), F.array_join("s.parts", "").alias("text"))
+    keys = ["conv_id", "message", "part"]
+    dealt = events.select(*keys, "seq", rank.alias("rank"), "kind", "role", "text").repartitionByRange(*keys, "seq").sortWithinPartitions(*keys, "seq", "rank", "role", "text")
+    states = in_arrow(dealt.select(*keys, "kind", "role", "text", F.spark_partition_id().cast("long").alias("task")), _states, "conv_id long, message long, part long, piece long, reset boolean, role string, text string")
+    log = F.sort_array(F.collect_list(F.struct("piece", "reset", "role", "text")))
+    own = states.groupBy(*keys).agg(log.alias("log"))
+    last = F.coalesce(F.array_max(F.transform("log", lambda s, k: F.when(s["reset"], k + 1))), F.lit(1))
+    roles = F.filter(F.transform("log", lambda s: s["role"]), lambda r: r.isNotNull())
+    text = F.array_join(F.transform(F.slice("log", last, F.size("log")), lambda s: s["text"]), "")
+    return own.select(*keys, F.coalesce(F.try_element_at(roles, F.lit(-1)), F.lit("")).alias("role"), text.alias("text"))
 
 
 FIELDS = [("conv_id", pa.int64()), ("message", pa.int64()), ("part", pa.int64()), ("piece", pa.int64()), ("open", pa.bool_()), ("n_turns", pa.int64()), ("turns", pa.binary()), ("loss", pa.binary()), ("loss_chars", pa.int64()), ("formatted_chars", pa.int64())]
@@ -148,16 +196,12 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def formatted_turns(messages: DataFrame) -> DataFrame:
-    """The rendered turns: messages plus formatted, the text with its marks (turns of a conversation simply follow each other)."""
-    esc = lambda c: F.regexp_replace(c, r"<(\\*)\|", r"<\\$1|")
-    role = esc(F.replace(F.replace(F.coalesce("role", F.lit("")), F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
-    return messages.withColumn("formatted", F.concat(F.lit(OPEN), role, F.lit("\n"), esc(F.coalesce("text", F.lit(""))), F.lit(CLOSE + "\n")))
-
-
 def conversation_digests(messages: DataFrame) -> DataFrame:
     """Per conversation (a null conv_id is one too): what op4 returns, read back from the rendered output.
 
+    messages: conv_id, message, part, role, text; null role and text count as empty, repeated rows are turns of their
+    own, and no rows give no rows.
+
     Messages are dealt by ranges of (conv_id, message, part), so a conversation of any length spreads over tasks; only
     the bytes of conversations that cross a range's border meet again, piece by piece, as a digest must be fed in order.
     """
