@@ -9,14 +9,15 @@ within e of each run, to both sides of it, decides.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import in_arrow, map_rows, table
+from ledgerlens.llm.common import in_arrow, saved, table
 
 Q = 12
 FRAGMENT = 40  # normalised characters; any so many of an item are looked for
@@ -25,7 +26,7 @@ RATE = 0.05  # edits per character
 EDITS = int((WHOLE - 1) * RATE)  # the most in one stretch
 BOUND = FRAGMENT + 1 - Q * (int(FRAGMENT * RATE) + 1)  # shared q-grams; a shorter or whole item needs no fewer among as many places
 LEAST = 30  # shorter items can't be told from chance by parts of them; those are looked for as a whole, word by word
-BLOCK_CHARS = 8_000_000  # of benchmark text per index; a larger benchmark is scanned for in several blocks
+BLOCK_CHARS = 8_000_000  # of benchmark text per index; a larger benchmark is looked for in several passes over the documents
 _TABLE: list[np.ndarray] = []
 
 
@@ -206,38 +207,66 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFra
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+SPAN = "struct<item_id:long,start:int,end:int,edits:int>"
+
+
+def _passes(docs: DataFrame, benchmark: DataFrame, step: Callable[[DataFrame, Broadcast, bool], DataFrame], block_chars: int) -> DataFrame:
+    """One pass over docs for each block of the benchmark: the driver and the executors hold the index of one block at a time.
+
+    Between passes docs are written to the shared checkpoint folder, and the block's index is given up.
+    """
+    own = blocks(benchmark, block_chars)
+    for k, block in enumerate(own):
+        index = docs.sparkSession.sparkContext.broadcast(Index([(r.item_id, r.text) for r in block.collect()]))
+        docs = step(docs, index, k + 1 == len(own))
+        if k + 1 < len(own):
+            docs = saved(docs)
+            index.destroy()
+    return docs
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per row of docs: doc_id, contaminated, item_ids (distinct, sorted), spans (item_id, start, end, edits).
 
-    Null and empty texts, and benchmark items without letters or digits, match nothing. Repeated
-    items count once; repeated documents give repeated results.
+    Null and empty texts, and benchmark items without letters or digits, match nothing; an empty benchmark marks no
+    document. Items given twice count once, items of one id are looked for each; repeated documents and null ids give
+    their own rows. Spans are in the order of item, place. Texts are read whole, whatever their length. Columns of docs
+    but doc_id and text are ignored.
     """
     span = pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())])
-    ddl = "array<struct<item_id:long,start:int,end:int,edits:int>>"
-    indexes = [docs.sparkSession.sparkContext.broadcast(Index([(r.item_id, r.text) for r in b.collect()])) for b in blocks(benchmark)]
+    names = [f.name for f in span]
+
+    def step(own: DataFrame, index: Broadcast, last: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = []
+                for text, before in zip(batch.column(1), batch.column(2), strict=True):
+                    found.append([*before.as_py(), *(dict(zip(names, x, strict=True)) for x in index.value.find(text.as_py() or ""))])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.nulls(batch.num_rows, pa.string()) if last else batch.column(1), pa.array(found, pa.list_(span))], names=["doc_id", "text", "spans"])
 
-    def make():
-        def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = [x for i in indexes for x in i.value.find(text.as_py() or "")]
-                yield doc, bool(found), sorted({x[0] for x in found}), [dict(zip(("item_id", "start", "end", "edits"), x, strict=True)) for x in found]
+        return in_arrow(own, run, f"doc_id long, text string, spans array<{SPAN}>")
 
-        return rows
+    none = F.array().cast(f"array<{SPAN}>").alias("spans")
+    found = _passes(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), none), benchmark, step, block_chars)
+    ids = F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["item_id"])))
+    return found.select("doc_id", (F.size("spans") > 0).alias("contaminated"), ids.alias("item_ids"), F.array_sort("spans").alias("spans"))
 
-    schema = pa.schema([("doc_id", pa.int64()), ("contaminated", pa.bool_()), ("item_ids", pa.list_(pa.int64())), ("spans", pa.list_(span))])
-    return map_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, schema, f"doc_id long, contaminated boolean, item_ids array<long>, spans {ddl}")
 
+def clean(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of docs that hold no passage of the benchmark, with all their columns.
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that hold no passage of the benchmark, with all their columns, in one pass."""
-    indexes = [docs.sparkSession.sparkContext.broadcast(Index([(r.item_id, r.text) for r in b.collect()])) for b in blocks(benchmark)]
+    Null and empty texts hold none; repeated rows and null ids are judged each for itself.
+    """
     at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([not any(i.value.find(t.as_py() or "") for i in indexes) for t in batch.column(at)], pa.bool_()))
+    def step(own: DataFrame, index: Broadcast, last: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([not index.value.find(t.as_py() or "") for t in batch.column(at)], pa.bool_()))
+
+        return in_arrow(own, run, own.schema)
 
-    return in_arrow(docs, run, docs.schema)
+    return _passes(docs, benchmark, step, block_chars)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
