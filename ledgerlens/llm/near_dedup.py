@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import in_arrow, saved, table
+from ledgerlens.llm.common import fresh, in_arrow, saved, spread_join, table
 
 WIDTH = 5  # words in a shingle
 M, R = 12, 2  # half keys in a collection, minhashes in a half key
@@ -29,6 +29,7 @@ ALIKE = 24
 #: A finer sketch, for the pairs that are left: of two sets at the threshold less than BINS_LEAST of the bins agree once in 10,000 at most.
 BINS, BINS_LEAST = 1024, 0.70
 PIVOTS = 2  # rounds with pivots before pairs
+SQUARE = 1024  # rows of a key that one task compares with as many others
 _WORDS: dict[bytes, int] = {}
 
 
@@ -174,27 +175,33 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(F.lit(100) * F.col("i") >= F.lit(PERCENT) * (F.size("a") + F.size("b") - F.col("i"))).select("u", "v")
 
 
-def _pivot_pairs(cells: DataFrame, turn: int) -> DataFrame:
-    """From cells (key, u, c: class): each text with its table's pivot, if they are of different classes."""
+def _pivot_pairs(cells: DataFrame, total: int, turn: int) -> DataFrame:
+    """From cells (key, u, c: class), total in number: each text with its table's pivot, if they are of different classes."""
     order = F.struct(F.xxhash64(F.lit(turn), F.col("u")).alias("o"), F.col("u").alias("v"), F.col("c").alias("cv"))
-    pivot = cells.groupBy("key").agg(F.min(order).alias("p"), F.count("*").alias("k")).where("k > 1").select("key", "p.v", "p.cv")
-    pairs = cells.join(pivot, "key").where("c <> cv")
+    pivot = cells.groupBy("key").agg(F.min(order).alias("p"), F.count("*").alias("k")).where("k > 1").select("key", "p.v", "p.cv", "k")
+    pairs = spread_join(cells, pivot, ["key"], "k", total, F.col("u")).where("c <> cv")
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
 def _rest(likely: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
     """Pairs of different classes that share a half key of the first collection, each once, by either sketch.
 
-    A pair comes from the first half key it shares alone. What doesn't pass the sketches never becomes a row.
+    A pair comes from the first half key it shares alone. What doesn't pass the sketches never becomes a row. The rows
+    of a key are dealt to squares of at most about SQUARE by SQUARE of them, so a task's share is bounded, however many
+    classes a key has left.
     """
     keys = F.transform("a", lambda x: F.xxhash64(x["place"], x["value"]))
     own = likely.join(comp, likely["u"] == comp["node"], "left").select("u", "n", "mins", keys.alias("keys"), F.coalesce("component", "u").alias("c"))
     rows = own.withColumn("key", F.explode("keys"))
-    several = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
-    rows = rows.join(several, "key", "left_semi").join(sets.select(F.col("doc_id").alias("u"), "bins"), "u")
-    other = rows.select(*[F.col(c).alias(c if c == "key" else f"{c}_2") for c in rows.columns])
+    several = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("k")).where("x < y").select("key", "k")
+    rows = spread_join(rows, several.withColumn("sides", F.ceil(F.col("k") / SQUARE).cast("int")), ["key"], "k", SQUARE * 1000, F.col("u")).join(sets.select(F.col("doc_id").alias("u"), "bins"), "u")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64(F.lit("side"), "u"), F.col("sides")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other")).drop("sides", "other")
+    square = ["key", "low", "high"]
+    other = rows.select(*[F.col(c).alias(c if c in square else f"{c}_2") for c in rows.columns])
     once = F.element_at(F.array_intersect("keys", "keys_2"), 1) == F.col("key")
-    pairs = rows.join(other, "key").where((F.col("u") > F.col("u_2")) & (F.col("c") != F.col("c_2")) & _near(F.col("n"), F.col("n_2"), F.col("mins"), F.col("mins_2")) & once & _bins_agree(F.col("bins"), F.col("bins_2")))
+    here = (F.col("low") == F.col("high")) | (F.col("side") != F.col("side_2"))
+    pairs = rows.join(other, square).where((F.col("u") > F.col("u_2")) & (F.col("c") != F.col("c_2")) & here & _near(F.col("n"), F.col("n_2"), F.col("mins"), F.col("mins_2")) & once & _bins_agree(F.col("bins"), F.col("bins_2")))
     return pairs.select("u", F.col("u_2").alias("v"))
 
 
@@ -202,43 +209,70 @@ def components(links: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for the nodes of links (u, v), by large and small stars.
 
     Each round moves neighbours to the smallest one seen; links shrink to stars in rounds of about the logarithm of the
-    longest path. Rounds are written to the shared folder.
+    longest path. Rounds are written to the shared folder; the links of a node that has very many are dealt to several
+    tasks. No links give no rows.
     """
     edges = saved(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
-    while True:
+    state, total = None, edges.count()
+    while total:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")).select("u", F.least("u", "m").alias("m"), "k")
+        large = spread_join(both, low, ["u"], "k", 2 * total, F.col("v")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k"))
+        small = spread_join(large, low, ["u"], "k", 2 * total, F.col("v")).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         edges = saved(small.where("u <> v").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == state:
             break
-        state = tuple(now)
+        state, total = tuple(now), now[0]
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
 
 
+DIGEST = ["h1", "h2", "n_shingles"]
+
+
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """The ids that several rows have, and null if a row has it."""
+    n = fresh(docs, "_n")
+    return docs.groupBy("doc_id").agg(F.count("*").alias(n)).where((F.col(n) > 1) | F.col("doc_id").isNull()).select("doc_id")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs.
 
-    Rows without words have no shingles and stand alone; rows of one doc_id share its component; a null doc_id links
-    with nothing (component null, kept). Equal sets are joined first, and one row of them stands for all.
+    Rows without words have no shingles and stand alone; rows of one doc_id share its component, whatever their texts; a
+    null doc_id links with nothing (component null, kept). Equal sets are one text: the smallest doc_id stands for all
+    of them, links are looked for among those alone, and the rows get their set's component at the end. Columns of docs
+    but doc_id and text are ignored; no rows give none.
     """
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    if repeated_ids(docs.where("doc_id is not null")).isEmpty():
+        return _classes(docs)
+    rows = saved(docs.withColumn("row", F.monotonically_increasing_id()))
+    by_row = saved(_classes(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("doc_id"), "text")))
+    own = rows.where("doc_id is not null").select("row", F.col("doc_id").alias("id")).join(by_row.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("component")), "row")
+    least = own.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("k"))
+    linked = saved(spread_join(own, least, ["component"], "k", by_row.count(), F.col("row")).select("id", "n_shingles", "least"))
+    nodes = components(linked.select(F.col("id").alias("u"), F.col("least").alias("v")))
+    out = linked.join(nodes, linked["id"] == nodes["node"], "left").select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    out = out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.unionByName(by_row.where("doc_id is null"))
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """As classes; no two rows have the same doc_id but null."""
     own = saved(sketches(docs))
     whole = own.where("n_shingles > 0 and doc_id is not null")
-    # one row for equal sets
-    groups = whole.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    members = whole.select("doc_id", "h1", "h2", "n_shingles").join(groups, ["h1", "h2", "n_shingles"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    reps = whole.join(groups.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "n_shingles", "doc_id"], "left_semi").dropDuplicates(["h1", "h2", "n_shingles", "doc_id"])
-    reps = reps.select(F.col("doc_id").alias("u"), F.col("n_shingles").alias("n"), "half", "mins")
+    n_rows = whole.count()
+    groups = saved(whole.groupBy(*DIGEST).agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")))
+    reps = whole.join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("n_shingles").alias("n"), "half", "mins")
     # half keys that another text shares
     half = reps.select("u", F.posexplode("half").alias("place", "value"))
     common = half.groupBy("place", "value").agg(F.min("u").alias("a"), F.max("u").alias("b")).where("a < b").select("place", "value")
     shared = half.join(common, ["place", "value"], "left_semi").groupBy("u").agg(F.collect_list(F.struct("place", "value")).alias("keys"))
     sides = shared.select("u", F.filter("keys", lambda k: k["place"] < M).alias("a"), F.filter("keys", lambda k: k["place"] >= M).alias("b")).where("size(a) > 0 and size(b) > 0")
     likely = saved(sides.join(reps.select("u", "n", "mins"), "u"))
+    n_cells = likely.agg(F.coalesce(F.sum(F.size("a") * F.size("b")), F.lit(0))).first()[0]
     tensor = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x["place"], x["value"], y["place"], y["value"]))))
     cells = likely.select("u", F.explode(tensor).alias("key"))
     sketch = likely.select("u", "n", "mins")
@@ -250,7 +284,7 @@ def classes(docs: DataFrame) -> DataFrame:
             pairs = _rest(likely, sets, comp)
         else:
             now = cells.withColumn("c", F.col("u")) if comp is None else cells.join(comp, cells["u"] == comp["node"], "left").select("u", "key", F.coalesce("component", "u").alias("c"))
-            pairs = _pivot_pairs(now, turn).join(sketch, "u").join(sketch.select(F.col("u").alias("v"), F.col("n").alias("nv"), F.col("mins").alias("mv")), "v")
+            pairs = _pivot_pairs(now, n_cells, turn).join(sketch, "u").join(sketch.select(F.col("u").alias("v"), F.col("n").alias("nv"), F.col("mins").alias("mv")), "v")
             pairs = pairs.where(_near(F.col("n"), F.col("nv"), F.col("mins"), F.col("mv"))).select("u", "v")
         pairs = saved(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -258,9 +292,11 @@ def classes(docs: DataFrame) -> DataFrame:
         if links is None or not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             comp = saved(components(links)) if turn < PIVOTS else comp
-    nodes = components(members.unionByName(links))
-    out = own.join(nodes, own["doc_id"] == nodes["node"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
+    nodes = components(links)
+    found = groups.join(nodes, groups["rep"] == nodes["node"], "left").select(*DIGEST, F.coalesce("component", "rep").alias("component"), "k")
+    out = spread_join(own.select("doc_id", *DIGEST), found, DIGEST, "k", n_rows, F.col("doc_id"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -269,13 +305,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Where ids are repeated or null (few or none), each row gets a number of its own, in the order of the ids with nulls
     last, and the classes are those of the rows: rows of one id stay where their texts are no near-duplicates.
     """
-    if docs.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1 or doc_id is null").isEmpty():
-        return docs.join(saved(classes(docs)).where("kept").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    rows = saved(docs.orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id()))
-    found = saved(classes(rows.select(F.col("_row").alias("doc_id"), "text")))
-    kept = rows.join(found.where("kept").select(F.col("doc_id").alias("_row"), "n_shingles"), "_row")
-    bare = kept.where("n_shingles = 0 and doc_id is not null").dropDuplicates(["doc_id"])
-    return kept.where("n_shingles > 0 or doc_id is null").unionByName(bare).select(docs.columns)
+    if repeated_ids(docs).isEmpty():
+        return docs.join(saved(_classes(docs)).where("kept").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    row, size = fresh(docs, "_row"), fresh(docs, "_size")
+    rows = saved(docs.orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text")).withColumn(row, F.monotonically_increasing_id()))
+    found = saved(_classes(rows.select(F.col(row).alias("doc_id"), "text")))
+    kept = rows.join(found.where("kept").select(F.col("doc_id").alias(row), F.col("n_shingles").alias(size)), row)
+    bare = kept.where((F.col(size) == 0) & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return kept.where((F.col(size) > 0) | F.col("doc_id").isNull()).unionByName(bare).select(docs.columns)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
