@@ -29,16 +29,19 @@ def saved(df: DataFrame) -> DataFrame:
     """The frame, computed once and written to the shared checkpoint folder, so that lost executors lose nothing.
 
     Nothing reads the shuffles behind it again, so Spark deletes their files once it is written. The plan is a copy:
-    one that df itself has run keeps its shuffles.
+    one that df itself has run keeps its shuffles. A checkpoint carries on Spark's estimate of its size, which a join
+    multiplies: over an iteration's rounds it grows to numbers of millions of digits. So the rows become a frame of
+    their own, without an estimate; adaptive execution goes by sizes as they are.
     """
-    shared_checkpoints(df.sparkSession)
-    conf = df.sparkSession.conf
-    was = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+    spark = df.sparkSession
+    shared_checkpoints(spark)
+    was = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
     try:
-        return df.select("*").checkpoint()
+        done = df.select("*").checkpoint()._jdf
     finally:
-        conf.set(CLEANUP, was)
+        spark.conf.set(CLEANUP, was)
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,19 +69,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def spread_join(many: DataFrame, one: DataFrame, keys: list[str], count: str, total: int, by: Column, how: str = "inner") -> DataFrame:
-    """many.join(one, keys, how) where one has a row for each key, and in count how many rows of many have it.
+def split_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """many.join(one, key, how) on a long key, where one comes from many.groupBy(key), and a key may have very many rows.
 
-    Keys of more than a thousandth of the total rows (256 at least) are dealt to several tasks, by a hash of `by`: there
-    are at most a thousand such keys, whose list is broadcast. how: inner or left. Keys that are null match nothing.
+    Joined by the key itself, one would stay where the groupBy put it, and Spark doesn't split partitions next to such a
+    side. By another form of the key both sides are shuffled (one's row a key is little), and adaptive execution deals
+    the rows of a large partition of many to several tasks.
     """
-    most = max(256, total // 1000)
-    parts = F.ceil(F.col(count) / F.lit(most)).cast("int")
-    n, salt = fresh(many, "_parts"), fresh(many, "_salt")
-    hot = one.where(F.col(count) > most).select(*keys, parts.alias(n))
-    dealt = many.join(F.broadcast(hot), keys, "left").withColumn(salt, F.pmod(F.xxhash64(by), F.coalesce(n, F.lit(1))).cast("int")).drop(n)
-    each = one.withColumn(salt, F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))).drop(count)
-    return dealt.join(each, [*keys, salt], how).drop(salt)
+    name = fresh(many, "_key")
+    other = lambda df: df.withColumn(name, F.col(key).bitwiseXOR(F.lit(1)))
+    return other(many).join(other(one).drop(key), name, how).drop(name)
 
 
 def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import fresh, in_arrow, saved, spread_join, table
+from ledgerlens.llm.common import fresh, in_arrow, saved, split_join, table
 
 WIDTH = 5  # words in a shingle
 M, R = 12, 2  # half keys in a collection, minhashes in a half key
@@ -175,11 +175,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(F.lit(100) * F.col("i") >= F.lit(PERCENT) * (F.size("a") + F.size("b") - F.col("i"))).select("u", "v")
 
 
-def _pivot_pairs(cells: DataFrame, total: int, turn: int) -> DataFrame:
-    """From cells (key, u, c: class), total in number: each text with its table's pivot, if they are of different classes."""
+def _pivot_pairs(cells: DataFrame, turn: int) -> DataFrame:
+    """From cells (key, u, c: class): each text with its table's pivot, if they are of different classes."""
     order = F.struct(F.xxhash64(F.lit(turn), F.col("u")).alias("o"), F.col("u").alias("v"), F.col("c").alias("cv"))
-    pivot = cells.groupBy("key").agg(F.min(order).alias("p"), F.count("*").alias("k")).where("k > 1").select("key", "p.v", "p.cv", "k")
-    pairs = spread_join(cells, pivot, ["key"], "k", total, F.col("u")).where("c <> cv")
+    pivot = cells.groupBy("key").agg(F.min(order).alias("p"), F.count("*").alias("k")).where("k > 1").select("key", "p.v", "p.cv")
+    pairs = split_join(cells, pivot, "key").where("c <> cv")
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
@@ -193,8 +193,8 @@ def _rest(likely: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
     keys = F.transform("a", lambda x: F.xxhash64(x["place"], x["value"]))
     own = likely.join(comp, likely["u"] == comp["node"], "left").select("u", "n", "mins", keys.alias("keys"), F.coalesce("component", "u").alias("c"))
     rows = own.withColumn("key", F.explode("keys"))
-    several = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("k")).where("x < y").select("key", "k")
-    rows = spread_join(rows, several.withColumn("sides", F.ceil(F.col("k") / SQUARE).cast("int")), ["key"], "k", SQUARE * 1000, F.col("u")).join(sets.select(F.col("doc_id").alias("u"), "bins"), "u")
+    several = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("k")).where("x < y").select("key", F.ceil(F.col("k") / SQUARE).cast("int").alias("sides"))
+    rows = split_join(rows, several, "key").join(sets.select(F.col("doc_id").alias("u"), "bins"), "u")
     rows = rows.withColumn("side", F.pmod(F.xxhash64(F.lit("side"), "u"), F.col("sides")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other")).drop("sides", "other")
     square = ["key", "low", "high"]
@@ -209,22 +209,22 @@ def components(links: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for the nodes of links (u, v), by large and small stars.
 
     Each round moves neighbours to the smallest one seen; links shrink to stars in rounds of about the logarithm of the
-    longest path. Rounds are written to the shared folder; the links of a node that has very many are dealt to several
+    longest path. Rounds are written to the shared folder; the links of a node that has very many may be dealt to several
     tasks. No links give no rows.
     """
     edges = saved(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state, total = None, edges.count()
-    while total:
+    state = None
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")).select("u", F.least("u", "m").alias("m"), "k")
-        large = spread_join(both, low, ["u"], "k", 2 * total, F.col("v")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k"))
-        small = spread_join(large, low, ["u"], "k", 2 * total, F.col("v")).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = saved(split_join(both, low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = split_join(large, low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         edges = saved(small.where("u <> v").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == state:
             break
-        state, total = tuple(now), now[0]
+        state = tuple(now)
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
 
 
@@ -251,8 +251,8 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = saved(docs.withColumn("row", F.monotonically_increasing_id()))
     by_row = saved(_classes(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("doc_id"), "text")))
     own = rows.where("doc_id is not null").select("row", F.col("doc_id").alias("id")).join(by_row.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("component")), "row")
-    least = own.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("k"))
-    linked = saved(spread_join(own, least, ["component"], "k", by_row.count(), F.col("row")).select("id", "n_shingles", "least"))
+    least = own.groupBy("component").agg(F.min("id").alias("least"))
+    linked = saved(split_join(own, least, "component").select("id", "n_shingles", "least"))
     nodes = components(linked.select(F.col("id").alias("u"), F.col("least").alias("v")))
     out = linked.join(nodes, linked["id"] == nodes["node"], "left").select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
     out = out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -263,8 +263,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     """As classes; no two rows have the same doc_id but null."""
     own = saved(sketches(docs))
     whole = own.where("n_shingles > 0 and doc_id is not null")
-    n_rows = whole.count()
-    groups = saved(whole.groupBy(*DIGEST).agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")))
+    groups = saved(whole.groupBy(*DIGEST).agg(F.min("doc_id").alias("rep")))
     reps = whole.join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("n_shingles").alias("n"), "half", "mins")
     # half keys that another text shares
     half = reps.select("u", F.posexplode("half").alias("place", "value"))
@@ -272,7 +271,6 @@ def _classes(docs: DataFrame) -> DataFrame:
     shared = half.join(common, ["place", "value"], "left_semi").groupBy("u").agg(F.collect_list(F.struct("place", "value")).alias("keys"))
     sides = shared.select("u", F.filter("keys", lambda k: k["place"] < M).alias("a"), F.filter("keys", lambda k: k["place"] >= M).alias("b")).where("size(a) > 0 and size(b) > 0")
     likely = saved(sides.join(reps.select("u", "n", "mins"), "u"))
-    n_cells = likely.agg(F.coalesce(F.sum(F.size("a") * F.size("b")), F.lit(0))).first()[0]
     tensor = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x["place"], x["value"], y["place"], y["value"]))))
     cells = likely.select("u", F.explode(tensor).alias("key"))
     sketch = likely.select("u", "n", "mins")
@@ -284,7 +282,7 @@ def _classes(docs: DataFrame) -> DataFrame:
             pairs = _rest(likely, sets, comp)
         else:
             now = cells.withColumn("c", F.col("u")) if comp is None else cells.join(comp, cells["u"] == comp["node"], "left").select("u", "key", F.coalesce("component", "u").alias("c"))
-            pairs = _pivot_pairs(now, n_cells, turn).join(sketch, "u").join(sketch.select(F.col("u").alias("v"), F.col("n").alias("nv"), F.col("mins").alias("mv")), "v")
+            pairs = _pivot_pairs(now, turn).join(sketch, "u").join(sketch.select(F.col("u").alias("v"), F.col("n").alias("nv"), F.col("mins").alias("mv")), "v")
             pairs = pairs.where(_near(F.col("n"), F.col("nv"), F.col("mins"), F.col("mv"))).select("u", "v")
         pairs = saved(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -293,8 +291,8 @@ def _classes(docs: DataFrame) -> DataFrame:
             links = new if links is None else links.unionByName(new)
             comp = saved(components(links)) if turn < PIVOTS else comp
     nodes = components(links)
-    found = groups.join(nodes, groups["rep"] == nodes["node"], "left").select(*DIGEST, F.coalesce("component", "rep").alias("component"), "k")
-    out = spread_join(own.select("doc_id", *DIGEST), found, DIGEST, "k", n_rows, F.col("doc_id"), "left")
+    found = groups.join(nodes, groups["rep"] == nodes["node"], "left").select(*DIGEST, F.coalesce("component", "rep").alias("component"))
+    out = own.select("doc_id", *DIGEST).join(found, DIGEST, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
