@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.checkpoints import saved
 from ledgerlens.functions.addresses import with_addresses
 from ledgerlens.functions.columns import difficulty
 from ledgerlens.operators.ledger import latest
-from ledgerlens.operators.paths import _saved
 from ledgerlens.sources import codec
 
 INPUT = "previous_txid string, previous_output_index long, script_sig string, sequence long, witness array<string>"
@@ -19,6 +19,8 @@ OUTPUT = "amount long, script_pubkey string"
 TX = f"txid string, version int, locktime long, size long, vsize long, weight long, is_coinbase boolean, inputs array<struct<{INPUT.replace(' ', ':').replace(',:', ',')}>>, outputs array<struct<{OUTPUT.replace(' ', ':').replace(',:', ',')}>>"
 BLOCK = f"file string, offset long, hash string, version int, previous_hash string, merkle_root string, timestamp long, bits string, nonce long, tx_count long, size long, weight long, transactions array<struct<{TX.replace(' ', ':').replace(',:', ',')}>>"
 
+BLOCK_COLUMNS = ["file", "offset", "hash", "version", "previous_hash", "merkle_root", "timestamp", "bits", "nonce", "tx_count", "size", "weight", "transactions"]
+
 
 def _fields(spark: SparkSession) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -43,24 +45,51 @@ def scan_blocks(spark: SparkSession, path: str, network: str = "mainnet") -> Dat
 
 
 def scan_blocks_at(spark: SparkSession, places: DataFrame, network: str = "mainnet") -> DataFrame:
-    """The blocks at (file, offset) of places; only the files named there are opened. A file that is missing is an error."""
+    """The blocks at (file, offset) of places, each read alone: its header, then as many bytes as that says.
+
+    The places of a file are sorted and read by one task after the other. Files on stores that Arrow opens (local,
+    HDFS, S3, GCS) are sought in; others are an error. So is a file that is missing.
+    """
     schema = _fields(spark)
-    files = [r.file for r in places.select("file").distinct().collect()]  # names of files, of 128 MB each
-    if not files:
-        return spark.createDataFrame([], BLOCK)
-    wanted = places.groupBy("file").agg(F.sort_array(F.collect_set("offset")).alias("offsets"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, source = None, None
         for batch in batches:
-            for name, data, offsets in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                content = data.as_py()
-                for at in offsets:
-                    found = codec.framed_block(content, at, network)
-                    if found:
-                        yield pa.RecordBatch.from_pylist([{"file": name, "offset": at} | codec.read_block(found[0])], schema=schema)
+            for own, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if own != name:
+                    name, source = own, _opened(own)
+                source.seek(at)
+                head = source.read(8)
+                size = int.from_bytes(head[4:], "little") if len(head) == 8 else 0
+                found = codec.framed_block(head + source.read(min(size, codec.MAX_BLOCK)), 0, network)
+                if found:
+                    yield pa.RecordBatch.from_pylist([{"file": own, "offset": at} | codec.read_block(found[0])], schema=schema)
+
+    dealt = places.select("file", F.col("offset").cast("long")).distinct().repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    return dealt.mapInArrow(run, BLOCK)
+
+
+def _opened(uri: str) -> pa.NativeFile:
+    from pyarrow.fs import FileSystem
+
+    scheme, _, rest = uri.partition(":")
+    fs, path = FileSystem.from_uri("file:///" + rest.lstrip("/") if scheme == "file" else uri)
+    return fs.open_input_file(path)
+
+
+def load_heights(spark: SparkSession, index: DataFrame, first: int, last: int, folder: str, network: str = "mainnet") -> DataFrame:
+    """height and the block of each height from first to last that the index (height, file_number, file_offset) has, read at its place.
+
+    An index's offset is that of the block itself, 8 bytes after its frame. Heights past the tip give no row.
+    """
+    name = F.concat(F.lit(folder.rstrip("/") + "/blk"), F.lpad(F.col("file_number").cast("string"), 5, "0"), F.lit(".dat"))
+    own = index.where(F.col("height").between(first, last)).select("height", name.alias("file"), (F.col("file_offset") - 8).alias("offset"))
+    return own.join(scan_blocks_at(spark, own.select("file", "offset"), network), ["file", "offset"]).select("height", *BLOCK_COLUMNS)
+
 
-    read = spark.read.format("binaryFile").load(files)
-    return read.join(F.broadcast(wanted) if len(files) < 10_000 else wanted, read["path"] == wanted["file"]).select("path", "content", "offsets").mapInArrow(run, BLOCK)
+def read_counters(blocks: DataFrame) -> DataFrame:
+    """file, blocks_read, last_offset of scanned blocks."""
+    return blocks.groupBy("file").agg(F.count("*").alias("blocks_read"), F.max("offset").alias("last_offset"))
 
 
 def main_chain(headers: DataFrame) -> DataFrame:
@@ -73,15 +102,15 @@ def main_chain(headers: DataFrame) -> DataFrame:
     own = headers.select("hash", "previous_hash", difficulty(F.col("bits")).alias("work")).dropDuplicates(["hash"])
     known = own.select(F.col("hash").alias("p"))
     jump = own.join(known, own["previous_hash"] == known["p"], "left").select("hash", F.col("p").alias("up"), "work", F.when(F.col("p").isNull(), 0).otherwise(1).cast("long").alias("steps"))
-    jumps = [_saved(jump)]
+    jumps = [saved(jump)]
     while not jumps[-1].where("up is not null").isEmpty():
         j = jumps[-1]
         above = j.select(F.col("hash").alias("up"), F.col("up").alias("up2"), F.col("work").alias("work2"), F.col("steps").alias("steps2"))
-        jumps.append(_saved(j.join(above, "up", "left").select("hash", F.col("up2").alias("up"), (F.col("work") + F.coalesce("work2", F.lit(0.0))).alias("work"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"))))
+        jumps.append(saved(j.join(above, "up", "left").select("hash", F.col("up2").alias("up"), (F.col("work") + F.coalesce("work2", F.lit(0.0))).alias("work"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"))))
     totals = jumps[-1].select("hash", "work", F.col("steps").alias("height"))
     marked = totals.orderBy(F.desc("work"), F.desc("height"), "hash").limit(1).select("hash")
     for j in reversed(jumps[:-1]):
-        marked = _saved(marked.unionByName(marked.join(j, "hash").where("up is not null").select(F.col("up").alias("hash"))).distinct())
+        marked = saved(marked.unionByName(marked.join(j, "hash").where("up is not null").select(F.col("up").alias("hash"))).distinct())
     return totals.join(marked, "hash").select("hash", "height")
 
 
