@@ -46,10 +46,10 @@ def signals_rbf(sequence: Column) -> Column:
 
 
 def format_eta(seconds: Column) -> Column:
-    """XhYm, Ym below an hour, n/a where negative or null."""
-    s = seconds.cast("long")
-    hours, minutes = F.floor(s / 3600).cast("string"), F.floor(s % 3600 / 60).cast("string")
-    return F.when(s.isNull() | (s < 0), "n/a").when(s >= 3600, F.concat(hours, F.lit("h"), minutes, F.lit("m"))).otherwise(F.concat(minutes, F.lit("m")))
+    """XhYm, Ym below an hour, n/a where null, 0 or below."""
+    whole = F.floor(seconds).cast("long")
+    hours, minutes = F.floor(whole / 3600).cast("string"), F.floor(whole % 3600 / 60).cast("string")
+    return F.when(seconds.isNull() | (seconds <= 0), "n/a").when(whole >= 3600, F.concat(hours, F.lit("h"), minutes, F.lit("m"))).otherwise(F.concat(minutes, F.lit("m")))
 
 
 def output_key(txid: Column, index: Column) -> Column:
@@ -57,6 +57,24 @@ def output_key(txid: Column, index: Column) -> Column:
     return F.when(txid.rlike("^[0-9a-fA-F]{64}$"), F.concat_ws(":", F.lower(txid), index.cast("string")))
 
 
+def output_key_parts(key: Column) -> Column:
+    """txid and index of a key of output_key, as a struct; null where it is none."""
+    good = key.rlike("^[0-9a-f]{64}:[0-9]{1,10}$")
+    return F.when(good, F.struct(F.substring(key, 1, 64).alias("txid"), F.substring(key, 66, 10).cast("long").alias("output_index")))
+
+
+#: The bytes of a txid, in its internal order (the reverse of that shown), that choose an output's shard; shards.
+SHARD_BYTES, SHARDS = (0, 7, 15, 23, 31), 16
+
+
+def shard(txid: Column, index: Column) -> Column:
+    """0 to 15, from the txid as shown and the output's index: some of the bytes and the index exclusive-ored."""
+    out = index.cast("long")
+    for k in SHARD_BYTES:
+        out = out.bitwiseXOR(F.conv(F.substring(txid, 2 * (31 - k) + 1, 2), 16, 10).cast("long"))
+    return out.bitwiseAND(F.lit(SHARDS - 1).cast("long"))
+
+
 def display_hash(raw: Column) -> Column:
     """A binary hash in its internal order, as the reversed hex that is shown."""
     return F.array_join(F.reverse(F.regexp_extract_all(F.lower(F.hex(raw)), F.lit("(..)"))), "")

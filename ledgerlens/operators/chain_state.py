@@ -33,6 +33,12 @@ def block_complete(blocks: DataFrame, tx_in_block: DataFrame) -> DataFrame:
     return blocks.join(n, "height", "left").select("height", F.col("tx_count").alias("expected"), F.coalesce("actual", F.lit(0)).alias("actual"))
 
 
+def height_gaps(blocks: DataFrame) -> DataFrame:
+    """height, nxt: heights after which some are missing, and the next there is."""
+    gaps = sequence_gaps(blocks.select(F.col("height").alias("seq")))
+    return gaps.select((F.col("expected") - 1).alias("height"), F.col("got").alias("nxt"))
+
+
 def sequence_gaps(notes: DataFrame, bucket: int = 1 << 20) -> DataFrame:
     """Notifications (seq) whose predecessor by number is missing, with the number before: expected, got.
 

@@ -69,10 +69,10 @@ def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:
 
 
 def block_memory(blocks: DataFrame, transactions: DataFrame, outputs: DataFrame, inputs: DataFrame) -> DataFrame:
-    """Estimated bytes to hold a block: 3500, and 3000 a transaction, 3000 an output, 2500 an input (fixed values)."""
+    """Estimated bytes to hold a block: 3500, and 3000 a transaction, 3500 an output, 2500 an input (fixed values)."""
     n = lambda t, name: t.groupBy(F.col("block_height").alias("height")).agg(F.count("*").alias(name))
     j = blocks.select("height").join(n(transactions, "t"), "height", "left").join(n(outputs, "o"), "height", "left").join(n(inputs, "i"), "height", "left").na.fill(0)
-    return j.select("height", F.expr("3500 + 3000 * t + 3000 * o + 2500 * i").cast("long").alias("bytes"))
+    return j.select("height", F.expr("3500 + 3000 * t + 3500 * o + 2500 * i").cast("long").alias("bytes"))
 
 
 def adaptive_chunks(sizes: list[int], budget: int) -> list[tuple[int, int]]:
@@ -85,3 +85,15 @@ def adaptive_chunks(sizes: list[int], budget: int) -> list[tuple[int, int]]:
             begin, total = k, 0
         total += size
     return [*out, (begin, len(sizes))] if sizes else []
+
+
+def mixing(inputs: DataFrame, outputs: DataFrame, least_inputs: int = 10, least_outputs: int = 10, limit: int = 100) -> DataFrame:
+    """Transactions of many inputs and outputs, the largest first. Both sides are counted and cut before they meet: never their product."""
+    i = inputs.groupBy("txid").agg(F.count("*").alias("n_inputs")).where(F.col("n_inputs") >= least_inputs)
+    o = outputs.groupBy("txid").agg(F.count("*").alias("n_outputs")).where(F.col("n_outputs") >= least_outputs)
+    return i.join(o, "txid").orderBy(F.desc("n_inputs"), F.desc("n_outputs"), "txid").limit(limit)
+
+
+def high_fees(transactions: DataFrame, over: int = 100_000_000, limit: int = 100) -> DataFrame:
+    """Transactions other than coinbases whose fee is over the bound, the highest first."""
+    return transactions.where(~F.col("is_coinbase") & (F.col("fee") > over)).orderBy(F.desc("fee"), "txid").limit(limit)

@@ -140,7 +140,7 @@ def resume_height(c: Chain) -> DataFrame:
     return c.blocks.agg(F.max("height").alias("last_height"), F.coalesce(F.max("height") + 1, F.lit(0)).cast("long").alias("resume_height"))
 
 
-@query("SELECT b.height, 3500 + 3000 * (SELECT count(*) FROM base t WHERE t.block_height = b.height) + 3000 * (SELECT count(*) FROM outputs o WHERE o.block_height = b.height) + 2500 * (SELECT count(*) FROM inputs i WHERE i.block_height = b.height) AS bytes FROM blocks b")
+@query("SELECT b.height, 3500 + 3000 * (SELECT count(*) FROM base t WHERE t.block_height = b.height) + 3500 * (SELECT count(*) FROM outputs o WHERE o.block_height = b.height) + 2500 * (SELECT count(*) FROM inputs i WHERE i.block_height = b.height) AS bytes FROM blocks b")
 def block_mem_estimate(c: Chain) -> DataFrame:
     return ledger.block_memory(c.blocks, c.base, c.outputs, c.inputs)
 
@@ -198,9 +198,36 @@ def difficulty(c: Chain) -> DataFrame:
     return c.blocks.select("height", fn.difficulty(bits).alias("difficulty"))
 
 
-@query("SELECT script_type, count(*) AS n FROM outputs GROUP BY ALL")
+def scripts(c: Chain) -> DataFrame:
+    """output_id, script: each output's script as hex, of the shape its class has; that of an UNKNOWN one is a broken P2PKH."""
+    body = F.sha2(F.col("output_id"), 256)
+    short = F.substring(body, 1, 40)
+    made = {"P2PKH": F.concat(F.lit("76a914"), short, F.lit("88ac")), "P2SH": F.concat(F.lit("a914"), short, F.lit("87")), "P2WPKH": F.concat(F.lit("0014"), short), "P2WSH": F.concat(F.lit("0020"), body), "P2TR": F.concat(F.lit("5120"), body), "NULL_DATA": F.concat(F.lit("6a14"), short)}
+    script = F.concat(F.lit("76a913"), short, F.lit("88ac"))
+    for name, text in made.items():
+        script = F.when(F.col("script_type") == name, text).otherwise(script)
+    return c.lines.select("output_id", script.alias("script"))
+
+
+@query("SELECT output_id, script_type FROM outputs")
 def script_type(c: Chain) -> DataFrame:
-    return c.outputs.groupBy("script_type").agg(F.count("*").alias("n"))
+    """The class of each output, told from its script alone."""
+    return scripts(c).select("output_id", fn.script_type(F.col("script")).alias("script_type"))
+
+
+@query("SELECT output_id, txid, output_index FROM outputs")
+def utxo_key(c: Chain) -> DataFrame:
+    """Keys made of transaction and index, and taken apart again."""
+    key = fn.output_key(F.col("txid"), F.col("output_index"))
+    return c.lines.select(key.alias("output_id"), fn.output_key_parts(key).alias("p")).select("output_id", "p.txid", "p.output_index")
+
+
+DIGITS = ", ".join(f"instr('123456789abcdef', substr(txid, {2 * (32 - k)}, 1))" for k in fn.SHARD_BYTES)
+
+
+@query(f"SELECT CAST(list_reduce([{DIGITS}, output_index % 16], lambda x, y: xor(x, y)) AS BIGINT) AS shard, count(*) AS n FROM outputs GROUP BY ALL")
+def shard_sizes(c: Chain) -> DataFrame:
+    return c.lines.groupBy(fn.shard(F.col("txid"), F.col("output_index")).alias("shard")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT output_id, CASE script_type WHEN 'P2PKH' THEN 0 WHEN 'P2SH' THEN 1 WHEN 'P2WPKH' THEN 2 WHEN 'P2WSH' THEN 3 WHEN 'P2TR' THEN 4 WHEN 'P2PK' THEN 5 WHEN 'NULL_DATA' THEN 6 ELSE 7 END AS tag FROM outputs")
@@ -239,6 +266,6 @@ def rbf_flag(c: Chain) -> DataFrame:
     return c.table("orders").select(F.col("o_orderkey").alias("k"), fn.signals_rbf(s).alias("rbf"), (s == NO_OUTPUT).alias("final"))
 
 
-@query("SELECT o_orderkey AS k, CASE WHEN s < 0 THEN 'n/a' WHEN s >= 3600 THEN (s // 3600) || 'h' || (s % 3600 // 60) || 'm' ELSE (s // 60) || 'm' END AS eta FROM (SELECT o_orderkey, (o_orderkey * 37) % 20000 - 100 AS s FROM orders)")
+@query("SELECT o_orderkey AS k, CASE WHEN s <= 0 THEN 'n/a' WHEN s >= 3600 THEN (s // 3600) || 'h' || (s % 3600 // 60) || 'm' ELSE (s // 60) || 'm' END AS eta FROM (SELECT o_orderkey, (o_orderkey * 37) % 20000 - 100 AS s FROM orders)")
 def format_eta(c: Chain) -> DataFrame:
     return c.table("orders").select(F.col("o_orderkey").alias("k"), fn.format_eta((F.col("o_orderkey") * 37) % 20000 - 100).alias("eta"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import paths
+from ledgerlens.operators import ledger, paths
 from ledgerlens.plans.chain_view import Chain
 from ledgerlens.plans.registry import query
 
@@ -32,9 +32,16 @@ def address_history(c: Chain, address: str = A) -> DataFrame:
 
 @query(f"SELECT b.address AS recipient, count(*) AS n, CAST(sum(total_output) AS BIGINT) AS total FROM performs p JOIN transactions t USING (txid) JOIN benefits_to b USING (txid) WHERE p.address = '{A}' AND b.address <> '{A}' GROUP BY ALL ORDER BY n DESC, recipient LIMIT 50")
 def first_degree(c: Chain, address: str = A) -> DataFrame:
-    """Who receives from the address's transactions; the amount is that of the whole transaction."""
-    own = c.performs.where(F.col("address") == address).select("txid").join(c.transactions.select("txid", "total_output"), "txid")
-    to = own.join(c.benefits_to.select("txid", F.col("address").alias("recipient")), "txid").where(F.col("recipient") != address)
+    """Who receives from the address's transactions; the amount is that of the whole transaction.
+
+    Only the outputs of those transactions are read on; sums are made of them alone.
+    """
+    spent = c.lines.where(F.col("address") == address).select(F.col("output_id").alias("previous_output_id"))
+    own = c.inputs.where("not is_coinbase").select("txid", "previous_output_id").join(spent, "previous_output_id", "left_semi").select("txid").distinct()
+    made = c.lines.select("txid", "address", "amount").join(own, "txid", "left_semi")
+    each = made.groupBy("txid", "address").agg(F.sum("amount").alias("amount"))
+    total = made.groupBy("txid").agg(F.sum("amount").alias("total_output"))
+    to = each.where(F.col("address").isNotNull() & (F.col("address") != address)).select("txid", F.col("address").alias("recipient")).join(total, "txid")
     return to.groupBy("recipient").agg(F.count("*").alias("n"), F.sum("total_output").alias("total")).orderBy(F.desc("n"), "recipient").limit(50)
 
 
@@ -62,24 +69,6 @@ def spend_chain(c: Chain) -> DataFrame:
     return paths.spend_chain(c.lines, c.spends, c.spends.agg(F.min("output_id").alias("output_id")))
 
 
-EARLY = "SELECT address AS a, txid AS b FROM performs JOIN base USING (txid) WHERE block_height <= 60 UNION SELECT txid, address FROM benefits_to JOIN base USING (txid) WHERE block_height <= 60"
-
-
-def early_edges(c: Chain) -> DataFrame:
-    early = c.base.where("block_height <= 60").select("txid")
-    return c.performs.join(early, "txid", "left_semi").select(F.col("address").alias("a"), F.col("txid").alias("b")).unionByName(c.benefits_to.join(early, "txid", "left_semi").select(F.col("txid").alias("a"), F.col("address").alias("b")))
-
-
-@query(
-    f", e AS ({EARLY}), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, hops) AS (SELECT 'addr1', 0 UNION SELECT s.b, hops + 1 FROM r JOIN s ON s.a = r.node WHERE hops < 10) SELECT hops, count(*) AS n FROM (SELECT node, CAST(min(hops) AS BIGINT) AS hops FROM r GROUP BY node) GROUP BY hops",
-    address_column="l_partkey",
-    recursive=True,
-)
-def shortest_path(c: Chain) -> DataFrame:
-    """How many nodes stand at each distance from addr1 over the first 61 blocks."""
-    return paths.distances(early_edges(c), A).groupBy(F.col("hops").cast("long").alias("hops")).agg(F.count("*").alias("n"))
-
-
 EDGES = "SELECT address AS a, txid AS b FROM performs UNION SELECT txid, address FROM benefits_to"
 
 
@@ -97,6 +86,16 @@ def path_distances(c: Chain) -> DataFrame:
     return paths.distances(edges(c), A).groupBy(F.col("hops").cast("long").alias("hops")).agg(F.count("*").alias("n"))
 
 
+@query(
+    f", e AS MATERIALIZED ({EDGES}), s AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, hops) AS (SELECT '{A}', 0 UNION SELECT s.b, hops + 1 FROM r JOIN s ON s.a = r.node WHERE hops < 10), d AS MATERIALIZED (SELECT node, CAST(min(hops) AS BIGINT) AS hops FROM r GROUP BY node), p(step, node) AS (SELECT hops, node FROM d WHERE node = '{B}' UNION ALL SELECT p.step - 1, min(s.a) FROM p JOIN s ON s.b = p.node JOIN d ON d.node = s.a AND d.hops = p.step - 1 GROUP BY p.step) SELECT step, node FROM p",
+    address_column="l_partkey",
+    recursive=True,
+)
+def shortest_path(c: Chain, source: str = A, target: str = B) -> DataFrame:
+    """One shortest way that money went, in either direction, between two addresses: step, node (addresses and transactions in turn)."""
+    return paths.shortest_path(edges(c), source, target)
+
+
 @query("SELECT t.txid, (SELECT list_sort(list(DISTINCT r.input_id || '|' || r.output_id || '|' || r.address)) FROM resolved r WHERE r.txid = t.txid AND address IS NOT NULL) AS spent, (SELECT list_sort(list(DISTINCT o.output_id || '|' || o.address)) FROM outputs o WHERE o.txid = t.txid AND address IS NOT NULL) AS made FROM transactions t WHERE block_height = 1000")
 def tx_detail(c: Chain) -> DataFrame:
     """Inputs and outputs of a block's transactions as sorted texts; sides without an address are null."""
@@ -148,11 +147,9 @@ def fees_by_day(c: Chain) -> DataFrame:
 
 
 @query("SELECT txid, i.n AS n_inputs, o.n AS n_outputs FROM (SELECT txid, count(*) AS n FROM inputs GROUP BY ALL HAVING count(*) >= 3) i JOIN (SELECT txid, count(*) AS n FROM outputs GROUP BY ALL HAVING count(*) >= 5) o USING (txid) ORDER BY n_inputs DESC, n_outputs DESC, txid LIMIT 100")
-def mixing(c: Chain, least_inputs: int = 3, least_outputs: int = 5) -> DataFrame:
-    """Both sides are counted and cut before they meet: never their product."""
-    i = c.inputs.groupBy("txid").agg(F.count("*").alias("n_inputs")).where(F.col("n_inputs") >= least_inputs)
-    o = c.lines.groupBy("txid").agg(F.count("*").alias("n_outputs")).where(F.col("n_outputs") >= least_outputs)
-    return i.join(o, "txid").orderBy(F.desc("n_inputs"), F.desc("n_outputs"), "txid").limit(100)
+def mixing(c: Chain) -> DataFrame:
+    """With lower bounds than the operator's own (10 and 10), which no transaction of the test tables reaches."""
+    return ledger.mixing(c.inputs, c.lines, 3, 5)
 
 
 @query("SELECT output_id, o.txid, ts FROM outputs o JOIN base USING (txid) WHERE script_type = 'NULL_DATA' ORDER BY ts DESC, output_id LIMIT 100")

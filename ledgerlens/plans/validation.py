@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import chain_state, ledger
 from ledgerlens.plans.chain_view import Chain
 from ledgerlens.plans.registry import query
 
@@ -76,11 +77,7 @@ def v_next_block(c: Chain) -> DataFrame:
 
 @query("SELECT height, nxt FROM (SELECT height, lead(height) OVER (ORDER BY height) AS nxt FROM blocks WHERE height % 97 <> 5) WHERE nxt <> height + 1")
 def v_height_gaps(c: Chain) -> DataFrame:
-    """A height with no next one, and the next there is: joins on height, no window over all rows."""
-    own = c.blocks.where("height % 97 <> 5").select("height")
-    ends = own.join(own.select((F.col("height") - 1).alias("height")), "height", "left_anti").withColumn("bucket", F.lit(0))
-    starts = own.join(own.select((F.col("height") + 1).alias("height")), "height", "left_anti").select(F.col("height").alias("start"))
-    return ends.join(starts, F.col("start") > F.col("height")).groupBy("height").agg(F.min("start").alias("nxt"))
+    return chain_state.height_gaps(c.blocks.where("height % 97 <> 5"))
 
 
 @query("SELECT b.height FROM (SELECT height, CASE WHEN height % 97 = 5 THEN 'x' ELSE previous_hash END AS ph FROM blocks) b JOIN blocks p ON p.height = b.height - 1 WHERE ph <> p.hash")
@@ -141,16 +138,20 @@ def v_benefits_null(c: Chain) -> DataFrame:
     return c.benefits_to.withColumn("output_count", F.expr("nullif(output_count, 2)")).where("output_count is null or amount_received is null").select("address", "txid")
 
 
-@query("SELECT p.address, p.txid, p.amount_spent, CAST(sum(r.amount) AS BIGINT) AS actual FROM performs p JOIN resolved r ON r.txid = p.txid AND r.address = p.address AND r.amount % 1000 <> 7 GROUP BY ALL HAVING p.amount_spent <> sum(r.amount)")
+@query("SELECT p.address, p.txid, p.amount_spent AS recorded, CAST(sum(r.amount) AS BIGINT) AS actual, p.input_count, count(*) AS actual_count FROM (SELECT address, txid, amount_spent, input_count + CASE WHEN amount_spent % 1000 = 9 THEN 1 ELSE 0 END AS input_count FROM performs) p JOIN resolved r ON r.txid = p.txid AND r.address = p.address AND r.amount % 1000 <> 7 GROUP BY ALL HAVING p.amount_spent <> sum(r.amount) OR p.input_count <> count(*)")
 def v_performs_sum(c: Chain) -> DataFrame:
-    real = c.resolved.where("address is not null and amount % 1000 <> 7").groupBy("address", "txid").agg(F.sum("amount").alias("actual"))
-    return c.performs.join(real, ["address", "txid"]).where("amount_spent <> actual").select("address", "txid", "amount_spent", "actual")
+    """Recorded sums or counts that differ from those of the inputs; here some inputs and some counts are damaged."""
+    real = c.resolved.where("address is not null and amount % 1000 <> 7").groupBy("address", "txid").agg(F.sum("amount").alias("actual"), F.count("*").alias("actual_count"))
+    own = c.performs.select("address", "txid", F.col("amount_spent").alias("recorded"), F.expr("input_count + case when amount_spent % 1000 = 9 then 1 else 0 end").alias("input_count"))
+    return own.join(real, ["address", "txid"]).where("recorded <> actual or input_count <> actual_count").select("address", "txid", "recorded", "actual", "input_count", "actual_count")
 
 
-@query("SELECT p.address, p.txid, p.amount_received, CAST(sum(o.amount) AS BIGINT) AS actual FROM benefits_to p JOIN outputs o ON o.txid = p.txid AND o.address = p.address AND o.amount % 1000 <> 7 GROUP BY ALL HAVING p.amount_received <> sum(o.amount)")
+@query("SELECT p.address, p.txid, p.amount_received AS recorded, CAST(sum(o.amount) AS BIGINT) AS actual, p.output_count, count(*) AS actual_count FROM (SELECT address, txid, amount_received, output_count + CASE WHEN amount_received % 1000 = 9 THEN 1 ELSE 0 END AS output_count FROM benefits_to) p JOIN outputs o ON o.txid = p.txid AND o.address = p.address AND o.amount % 1000 <> 7 GROUP BY ALL HAVING p.amount_received <> sum(o.amount) OR p.output_count <> count(*)")
 def v_benefits_sum(c: Chain) -> DataFrame:
-    real = c.lines.where("address is not null and amount % 1000 <> 7").groupBy("address", "txid").agg(F.sum("amount").alias("actual"))
-    return c.benefits_to.join(real, ["address", "txid"]).where("amount_received <> actual").select("address", "txid", "amount_received", "actual")
+    """Recorded sums or counts that differ from those of the outputs; here some outputs and some counts are damaged."""
+    real = c.lines.where("address is not null and amount % 1000 <> 7").groupBy("address", "txid").agg(F.sum("amount").alias("actual"), F.count("*").alias("actual_count"))
+    own = c.benefits_to.select("address", "txid", F.col("amount_received").alias("recorded"), F.expr("output_count + case when amount_received % 1000 = 9 then 1 else 0 end").alias("output_count"))
+    return own.join(real, ["address", "txid"]).where("recorded <> actual or output_count <> actual_count").select("address", "txid", "recorded", "actual", "output_count", "actual_count")
 
 
 @query("SELECT txid FROM transactions WHERE nullif(total_output, 0) IS NULL OR total_input IS NULL OR fee IS NULL")
@@ -158,15 +159,19 @@ def v_tx_nulls(c: Chain) -> DataFrame:
     return c.transactions.withColumn("total_output", F.expr("nullif(total_output, 0)")).where("total_output is null or total_input is null or fee is null").select("txid")
 
 
-@query("SELECT output_id FROM outputs WHERE CASE WHEN amount % 1000 = 7 THEN NULL ELSE amount END IS NULL OR script_type IS NULL OR output_index IS NULL")
+@query("SELECT txid, output_index FROM (SELECT txid, output_index, script_type, CASE WHEN amount % 1000 = 7 THEN NULL ELSE amount END AS amount, CASE WHEN amount % 1000 = 8 THEN NULL ELSE output_id END AS output_id, CASE WHEN amount % 1000 = 9 THEN NULL ELSE is_spent END AS is_spent FROM outputs_v) WHERE output_id IS NULL OR amount IS NULL OR script_type IS NULL OR is_spent IS NULL")
 def v_output_nulls(c: Chain) -> DataFrame:
-    damaged = c.lines.withColumn("amount", F.expr("case when amount % 1000 = 7 then null else amount end"))
-    return damaged.where("amount is null or script_type is null or output_index is null").select("output_id")
+    """Outputs without key, amount, class or spent flag; here one in a thousand has no amount, key or flag."""
+    gone = lambda name, k: F.expr(f"case when amount % 1000 = {k} then null else {name} end").alias(name)
+    damaged = c.outputs_v.select("txid", "output_index", "script_type", gone("amount", 7), gone("output_id", 8), gone("is_spent", 9))
+    return damaged.where("output_id is null or amount is null or script_type is null or is_spent is null").select("txid", "output_index")
 
 
-@query("SELECT input_id FROM inputs WHERE nullif(input_index, 3) IS NULL OR txid IS NULL")
+@query("SELECT txid, input_index, previous_output_id FROM (SELECT txid, previous_output_id, nullif(input_index, 3) AS input_index, CASE WHEN input_index = 2 AND block_height % 5 = 0 THEN NULL ELSE input_id END AS input_id FROM inputs) WHERE input_id IS NULL OR input_index IS NULL")
 def v_input_nulls(c: Chain) -> DataFrame:
-    return c.inputs.withColumn("input_index", F.expr("nullif(input_index, 3)")).where("input_index is null or txid is null").select("input_id")
+    """Inputs without key or index; here every fourth one of a transaction has no index, and some third ones no key."""
+    damaged = c.inputs.select("txid", "previous_output_id", F.expr("nullif(input_index, 3)").alias("input_index"), F.expr("case when input_index = 2 and block_height % 5 = 0 then null else input_id end").alias("input_id"))
+    return damaged.where("input_id is null or input_index is null").select("txid", "input_index", "previous_output_id")
 
 
 @query("SELECT output_id, count(*) AS n FROM (SELECT output_id FROM spends UNION ALL SELECT output_id FROM spends WHERE block_height % 50 = 3) GROUP BY ALL HAVING count(*) > 1")
@@ -185,14 +190,15 @@ def v_utxo_set(c: Chain) -> DataFrame:
     return c.utxos.agg(F.count("*").alias("n"), F.sum("amount").alias("total"))
 
 
-@query("SELECT txid, fee FROM transactions WHERE fee > 5000000 ORDER BY fee DESC, txid LIMIT 100")
+@query("SELECT txid, block_height, fee, total_input, total_output FROM transactions WHERE NOT is_coinbase AND fee > 5000000 ORDER BY fee DESC, txid LIMIT 100")
 def v_high_fees(c: Chain) -> DataFrame:
-    return c.transactions.where("fee > 5000000").select("txid", "fee").orderBy(F.desc("fee"), "txid").limit(100)
+    """With a lower bound than the operator's own (100,000,000), which no transaction of the test tables reaches."""
+    return ledger.high_fees(c.transactions, 5_000_000).select("txid", "block_height", "fee", "total_input", "total_output")
 
 
-@query("SELECT txid, fee FROM transactions WHERE fee < 0")
+@query("SELECT txid, fee FROM transactions WHERE NOT is_coinbase AND fee < 0")
 def v_negative_fees(c: Chain) -> DataFrame:
-    return c.transactions.where("fee < 0").select("txid", "fee")
+    return c.transactions.where("not is_coinbase and fee < 0").select("txid", "fee")
 
 
 KEYS = [("blocks", "height"), ("blocks", "hash"), ("transactions", "txid"), ("outputs", "output_id"), ("inputs", "input_id"), ("addresses", "address")]
@@ -209,19 +215,41 @@ def v_constraints(c: Chain) -> DataFrame:
     return out
 
 
-@query("SELECT (SELECT count(*) FROM blocks) AS blocks, (SELECT count(*) FROM base) AS transactions, (SELECT count(*) FROM outputs) AS outputs, (SELECT count(*) FROM inputs) AS inputs, (SELECT count(*) FROM addresses) AS addresses, (SELECT count(*) FROM spends) AS spends, (SELECT count(*) FROM performs) AS performs, (SELECT count(*) FROM benefits_to) AS benefits_to, (SELECT count(*) FROM transactions WHERE is_coinbase) AS coinbases, (SELECT count(*) FROM utxos) AS utxos, (SELECT max(height) FROM blocks) AS height")
-def v_summary(c: Chain) -> DataFrame:
-    counts = {"blocks": c.blocks, "transactions": c.base, "outputs": c.lines, "inputs": c.inputs, "addresses": c.addresses, "spends": c.spends, "performs": c.performs, "benefits_to": c.benefits_to, "coinbases": c.base.where("is_coinbase"), "utxos": c.utxos}
-    out = c.blocks.agg(F.max("height").alias("height"))
-    for name, t in counts.items():
-        out = out.crossJoin(t.agg(F.count("*").alias(name)))  # one row each
-    return out
+SUMMARY = {
+    "blocks": "SELECT count(*) FROM blocks", "height": "SELECT max(height) FROM blocks", "transactions": "SELECT count(*) FROM base", "coinbases": "SELECT count(*) FROM base WHERE is_coinbase", "outputs": "SELECT count(*) FROM outputs", "inputs": "SELECT count(*) FROM inputs",
+    "addresses": "SELECT count(*) FROM addresses", "spends": "SELECT count(*) FROM spends", "performs": "SELECT count(*) FROM performs", "benefits_to": "SELECT count(*) FROM benefits_to", "utxos": "SELECT count(*) FROM utxos", "total_satoshis": "SELECT CAST(sum(amount) AS BIGINT) FROM utxos",
+    "balance_errors": "SELECT count(*) FROM transactions WHERE NOT is_coinbase AND total_input <> total_output + fee", "orphaned_inputs": "SELECT count(*) FROM inputs i WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.txid = i.txid)",
+    "orphaned_outputs": "SELECT count(*) FROM outputs o WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.txid = o.txid)", "missing_spends": "SELECT count(*) FROM inputs i WHERE NOT is_coinbase AND NOT EXISTS (SELECT 1 FROM spends s WHERE s.input_id = i.input_id)",
+}
 
 
-@query("SELECT b.height, t.txid, o.output_id, o.amount, o.address FROM blocks b JOIN base t ON t.block_height = b.height JOIN outputs o ON o.txid = t.txid WHERE b.height = 0")
+@query("SELECT " + ", ".join(f"({sql}) AS {name}" for name, sql in SUMMARY.items()))
+def v_summary(c: Chain) -> DataFrame:
+    """All counters of the chain in one row: one pass over each relation, whose counters are one aggregate."""
+    known = c.base.select("txid", F.lit(True).alias("known"))
+    spent = c.spends.select("output_id", "input_id")
+    outs = c.outputs.join(known, "txid", "left").join(spent.select("output_id", F.lit(True).alias("spent")), "output_id", "left")
+    ins = c.inputs.join(known, "txid", "left").join(spent.select("input_id", F.lit(True).alias("resolved")), "input_id", "left")
+    one = [
+        c.blocks.agg(F.count("*").alias("blocks"), F.max("height").alias("height")),
+        c.transactions.agg(F.count("*").alias("transactions"), F.count_if("is_coinbase").alias("coinbases"), F.count_if(F.expr("not is_coinbase and total_input <> total_output + fee")).alias("balance_errors")),
+        outs.agg(F.count("*").alias("outputs"), F.count_if(F.col("spent").isNull()).alias("utxos"), F.sum(F.when(F.col("spent").isNull(), F.col("amount"))).alias("total_satoshis"), F.count_if(F.col("known").isNull()).alias("orphaned_outputs")),
+        ins.agg(F.count("*").alias("inputs"), F.count("resolved").alias("spends"), F.count_if(F.col("known").isNull()).alias("orphaned_inputs"), F.count_if(~F.col("is_coinbase") & F.col("resolved").isNull()).alias("missing_spends")),
+        c.resolved.where("address is not null").select("address", "txid").distinct().agg(F.count("*").alias("performs")),
+        c.lines.where("address is not null").join(c.base.select("txid"), "txid", "left_semi").groupBy("address", "txid").agg(F.lit(1).alias("x")).groupBy("address").agg(F.count("*").alias("k")).agg(F.count("*").alias("addresses"), F.sum("k").alias("benefits_to")),
+    ]
+    out = one[0]
+    for row in one[1:]:
+        out = out.crossJoin(row)  # one row each
+    return out.select(*SUMMARY)
+
+
+@query("SELECT b.hash AS block_hash, t.txid, o.amount, o.address FROM blocks b JOIN base t ON t.block_height = b.height JOIN outputs o ON o.txid = t.txid WHERE b.height = 0 AND o.address IS NOT NULL")
 def v_genesis(c: Chain) -> DataFrame:
-    own = c.base.where("block_height = 0").select("txid", F.col("block_height").alias("height"))
-    return own.join(c.lines.select("txid", "output_id", "amount", "address"), "txid").select("height", "txid", "output_id", "amount", "address")
+    """The first block's hash, transactions, and amounts that went to an address."""
+    block = c.blocks.where("height = 0").select(F.col("height").alias("block_height"), F.col("hash").alias("block_hash"))
+    own = c.base.where("block_height = 0").select("txid", "block_height").join(block, "block_height")
+    return own.join(c.lines.where("address is not null").select("txid", "amount", "address"), "txid").select("block_hash", "txid", "amount", "address")
 
 
 @query("SELECT sha256('tx:1') AS txid, (SELECT list_sort(coalesce(list(input_id), [])) FROM inputs WHERE txid = sha256('tx:1')) AS ins, (SELECT list_sort(coalesce(list(output_id), [])) FROM outputs WHERE txid = sha256('tx:1')) AS outs")
