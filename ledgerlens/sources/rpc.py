@@ -46,6 +46,8 @@ class Node:
         except urllib.error.HTTPError as e:  # errors of calls come with status 500 and a body
             if e.code == 500:
                 return e.read()
+            if e.code in (401, 403):
+                raise RpcError(e.code, "the node refuses these credentials") from e
             raise
 
     def call(self, method: str, *params):
@@ -80,7 +82,10 @@ class Node:
 
 
 def rpc_blocks(spark: SparkSession, node: Node, start: int, count: int, partitions: int = 8) -> DataFrame:
-    """height and the block of each of count heights from start; heights past the tip are left out. partitions bounds the requests at once."""
+    """height and the block of each of count heights from start, in their order; heights past the tip are left out.
+
+    partitions bounds the requests at once; each has a stretch of consecutive heights.
+    """
     ddl = "height long, " + block_files.BLOCK
     schema = pa.schema([("height", pa.int64()), *block_files._fields(spark)])
 

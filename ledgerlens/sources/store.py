@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.ledger import latest
 from ledgerlens.sources.files import Files
 
+BUCKETS, MOST_ROWS = 8, 5_000_000  # files that a batch's edges are dealt to by address; rows of a file
 KEYS = {"blocks": "height", "transactions": "txid", "outputs": "output_id", "inputs": "input_id"}
 EMPTY = {"version": 0, "height": None, "hash": None, "status": "in_progress", "batches": []}
 STATUSES = ["in_progress", "completed", "paused", "error"]
@@ -67,7 +68,9 @@ class Store:
         base = f"{self.files.root}/batch-{batch}"
         try:
             for name, rows in tables.items():
-                rows.sortWithinPartitions(_height(name)).write.mode("overwrite").parquet(f"{base}/{name}")
+                if name in ("performs", "benefits_to"):
+                    rows = rows.repartition(BUCKETS, "address")
+                rows.sortWithinPartitions(_height(name)).write.mode("overwrite").option("maxRecordsPerFile", MOST_ROWS).parquet(f"{base}/{name}")
         except Exception:
             self.abort()
             raise
@@ -129,7 +132,23 @@ class Store:
             return False
         batches = _cut(m["batches"], height)
         tip = self._tip(batches)
-        self._publish(m, batches=batches, height=tip and tip.height, hash=tip and tip.hash)
+        self._publish(m, batches=batches, height=tip.height if tip else None, hash=tip.hash if tip else None)
+        return True
+
+    def compact(self, batch: str) -> bool:
+        """Writes what counts of all batches as one batch of that name, which a new manifest lists alone; False where there are fewer than two.
+
+        Folders of the batches before stay until vacuum, for readers that still use them.
+        """
+        m = self.manifest()
+        if len(m["batches"]) < 2:
+            return False
+        names = sorted({t for b in m["batches"] for t in b["tables"]})
+        for name in names:
+            rows = self._rows(name, m["batches"])
+            rows = rows.repartitionByRange(_height(name)).sortWithinPartitions(_height(name))
+            rows.write.mode("overwrite").option("maxRecordsPerFile", MOST_ROWS).parquet(f"{self.files.root}/batch-{batch}/{name}")
+        self._publish(m, batches=[{"id": batch, "tables": names, "upto": None}])
         return True
 
     def set_status(self, status: str) -> None:
@@ -162,6 +181,43 @@ def _digest(utxos: DataFrame):
     return {"count": row.n, "checksum": str(row.s or 0)}
 
 
+def write_utxo_file(utxos: DataFrame, path: str, height: int) -> int:
+    """Unspent outputs as one binary file with a CRC (see codec.UTXO_HEADER), beside its place first; the number of entries.
+
+    Rows come to the driver a partition at a time and go to a local file; Parquet snapshots are for more than a machine holds.
+    """
+    import os
+
+    from ledgerlens.sources import codec
+
+    part, n, crc = f"{path}.part", 0, 0
+    with open(part, "wb") as f:
+        f.write(bytes(codec.UTXO_HEADER.size))
+        for r in utxos.select("output_id", "amount", "script_type", "address").toLocalIterator():
+            entry = codec.utxo_entry(r.output_id, r.amount, r.script_type, r.address)
+            crc, n = codec.crc32(entry, crc), n + 1
+            f.write(entry)
+        f.seek(0)
+        f.write(codec.UTXO_HEADER.pack(codec.UTXO_MAGIC, codec.UTXO_VERSION, n, height, crc))
+        f.flush()
+        os.fsync(f.fileno())
+    os.replace(part, path)
+    return n
+
+
+def read_utxo_file(spark: SparkSession, path: str) -> tuple[int, DataFrame] | None:
+    """Height and rows of such a file, its CRC compared first; None where there is none."""
+    import os
+
+    from ledgerlens.sources import codec
+
+    if not os.path.exists(path):
+        return None
+    with open(path, "rb") as f:
+        height, entries = codec.utxo_entries(f.read())
+    return height, spark.createDataFrame(entries, "output_id string, amount long, script_type string, address string")
+
+
 def save_snapshot(utxos: DataFrame, root: str, height: int) -> None:
     """Unspent outputs as Parquet with a manifest of height, count and checksum; a snapshot of that height must not exist."""
     path = f"{root.rstrip('/')}/utxo-{height}"

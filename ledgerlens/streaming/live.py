@@ -32,8 +32,12 @@ def apply_changes(store: Store, decode: Callable[[DataFrame], dict[str, DataFram
     """A foreachBatch function: rollbacks and appends of a micro-batch become one manifest; a batch run again changes nothing."""
 
     def run(changes: DataFrame, batch: int) -> None:
-        low = changes.where("op = 'rollback'").agg(F.min("height")).first()[0]
-        store.append(f"live-{batch}", decode(surviving(changes)), above=low)
+        changes = changes.persist()  # a micro-batch, read once for its rollbacks and once for each table
+        try:
+            low = changes.where("op = 'rollback'").agg(F.min("height")).first()[0]
+            store.append(f"live-{batch}", decode(surviving(changes)), above=low)
+        finally:
+            changes.unpersist()
 
     return run
 
