@@ -1,4 +1,5 @@
 import os
+import random
 
 import duckdb
 import pytest
@@ -6,12 +7,12 @@ import pytest
 import __spark_entry__
 from ledgerlens.functions import columns as fn
 from ledgerlens.operators import chain_state, ledger, paths
-from ledgerlens.plans import investigation
+from ledgerlens.plans import investigation, registry
 from ledgerlens.plans.chain_view import Chain
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "lineitem", "events"]
-CHECKED = ["tx_amounts", "performs", "utxo_set", "first_degree", "mixing", "v_balance", "v_height_gaps", "seq_gaps", "reorg_detect", "tx_detail", "format_eta"]
+CHECKED = sorted(registry.SQL)
 
 
 @pytest.mark.parametrize("name", CHECKED)
@@ -65,7 +66,11 @@ def test_difficulty(spark):
 def test_paths_and_gaps(spark):
     edges = spark.createDataFrame([("a", "t1"), ("t1", "b"), ("b", "t2"), ("t2", "c"), ("x", "y")], "a string, b string")
     assert [r.hops for r in paths.shortest_hops(edges, "a", "c").collect()] == [4]
-    assert paths.shortest_hops(edges, "a", "x").collect() == []
+    assert paths.shortest_hops(edges, "a", "x").collect() == [] and paths.shortest_hops(edges, "a", "c", 3).collect() == []
+    assert [tuple(r) for r in paths.shortest_path(edges, "a", "a").collect()] == [(0, "a")]
+    assert [r.node for r in paths.shortest_path(edges, "a", "c").orderBy("step").collect()] == ["a", "t1", "b", "t2", "c"]
+    blocks = spark.createDataFrame([(0,), (1,), (4,), (9,)], "height long")
+    assert sorted(map(tuple, chain_state.height_gaps(blocks).collect())) == [(1, 4), (4, 9)]
     notes = spark.createDataFrame([(1,), (2,), (5,), (6,), (9,)], "seq long")
     assert sorted(map(tuple, chain_state.sequence_gaps(notes, bucket=3).collect())) == [(3, 5), (7, 9)]
 
@@ -97,3 +102,65 @@ def test_imports_without_the_text_part():
 
     code = "import sys; sys.modules['ledgerlens.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert not any(n.startswith('op1_') for n in e.queries()) and 'first_degree' in e.oracle_sql()"
     assert subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.abspath(__spark_entry__.__file__))).returncode == 0
+
+
+def test_shortest_paths_equal_brute_force(spark):
+    rng = random.Random(3)
+    edges = sorted({tuple(rng.sample(range(30), 2)) for _ in range(34)})
+    near = {k: set() for k in range(30)}
+    for a, b in edges:
+        near[a].add(b)
+        near[b].add(a)
+    frame = spark.createDataFrame([(f"n{a:02}", f"n{b:02}") for a, b in edges], "a string, b string").cache()
+    for source, target in [rng.sample(range(30), 2) for _ in range(6)]:
+        hops, front = {source: 0}, [source]
+        while front:
+            front = [b for a in front for b in near[a] if b not in hops and not hops.update({b: hops[a] + 1})]
+        want = []
+        if hops.get(target, 99) <= 10:
+            want = [target]
+            while want[0] != source:
+                want.insert(0, min(b for b in near[want[0]] if hops.get(b) == hops[want[0]] - 1))
+        got = [r.node for r in paths.shortest_path(frame, f"n{source:02}", f"n{target:02}").orderBy("step").collect()]
+        assert got == [f"n{k:02}" for k in want]
+
+
+def test_known_answers(spark):
+    """Literal values from the definitions, not from this code."""
+    one = lambda n, name, first: spark.createDataFrame([(7, k) for k in range(n)], f"block_height long, {name} long") if first else None
+    blocks = spark.createDataFrame([(7,), (8,)], "height long")
+    got = {r.height: r.bytes for r in ledger.block_memory(blocks, one(90, "t", True), one(270, "o", True), one(270, "i", True)).collect()}
+    assert got == {7: 3500 + 90 * 3000 + 270 * 3500 + 270 * 2500, 8: 3500} and got[7] == 1_893_500
+    seconds = spark.createDataFrame([(91440.0,), (2520.0,), (0.0,), (-5.0,), (None,), (0.5,), (3599.9,), (3600.0,)], "s double")
+    assert [r.e for r in seconds.select(fn.format_eta(seconds.s).alias("e")).collect()] == ["25h24m", "42m", "n/a", "n/a", "n/a", "0m", "59m", "1h0m"]
+    tx = spark.createDataFrame([("a", False, 100_000_000), ("b", False, 100_000_001), ("c", True, 900_000_000)], "txid string, is_coinbase boolean, fee long")
+    assert [r.txid for r in ledger.high_fees(tx).collect()] == ["b"]
+    rows = lambda n, m: spark.createDataFrame([("x",)] * n + [("y",)] * m, "txid string")
+    assert [tuple(r) for r in ledger.mixing(rows(10, 9), rows(10, 12)).collect()] == [("x", 10, 10)]
+    txid = "0f" + "00" * 30 + "30"  # as shown; the last byte is the first in internal order
+    keys = spark.createDataFrame([(txid, 0), (txid, 1), ("ab" * 32, 2)], "txid string, n long")
+    assert [r.k for r in keys.select(fn.shard(keys.txid, keys.n).alias("k")).collect()] == [15, 14, 9]
+    texts = spark.createDataFrame([("AB" * 32, 3), ("zz", 3)], "txid string, n int")
+    made = [r.k for r in texts.select(fn.output_key(texts.txid, texts.n).alias("k")).collect()]
+    assert made == ["ab" * 32 + ":3", None]
+    parts = spark.createDataFrame([("ab" * 32 + ":3",), ("ab:3",), (None,)], "k string")
+    assert [r.p and tuple(r.p) for r in parts.select(fn.output_key_parts(parts.k).alias("p")).collect()] == [("ab" * 32, 3), None, None]
+
+
+def test_summary_counts_damage(spark):
+    """The summary's counters of faults on relations that have some."""
+    from ledgerlens.plans import validation
+
+    class Damaged(Chain):
+        def __init__(self, spark, folder):
+            super().__init__(spark, folder)
+            clean = Chain(spark, folder)
+            self.__dict__["base"] = clean.base.where("tx_index <> 2")
+            self.__dict__["spends"] = clean.spends.where("block_height % 50 <> 3")
+
+    c, clean = Damaged(spark, SF), Chain(spark, SF)
+    r = validation.v_summary.__wrapped__(c).first() if hasattr(validation.v_summary, "__wrapped__") else validation.v_summary(c).first()
+    gone = clean.base.where("tx_index = 2").select("txid")
+    assert r.orphaned_outputs == c.outputs.join(gone, "txid", "left_semi").count()
+    assert r.orphaned_inputs == c.inputs.join(gone, "txid", "left_semi").count()
+    assert r.missing_spends == c.inputs.where("not is_coinbase").count() - c.inputs.join(c.spends, "input_id", "left_semi").count() > 0

@@ -291,3 +291,88 @@ def test_config(tmp_path):
             config.load(str(f), env).validate().validate_rpc()
     with pytest.raises(config.ConfigError, match="rpc"):
         config.Config(store=config.StoreSettings("/s")).validate().validate_rpc()
+
+
+def test_batches_into_the_store(spark, tmp_path):
+    from ledgerlens.sources import ingest
+
+    rows = small_chain(9)
+    (tmp_path / "blk00000.dat").write_bytes(b"".join(codec.framed(r) for _, _, r in rows))
+    scanned = block_files.scan_blocks(spark, str(tmp_path / "blk*.dat"))
+    tables = block_files.relations(scanned.join(spark.createDataFrame([(h, x) for h, x, _ in rows], "height long, hash string"), "hash"))
+    upto = lambda a, b: {n: t.where(F.col("height" if n == "blocks" else "block_height").between(a, b)) for n, t in tables.items() if n != "tx_in_block"}
+    store = Store(spark, str(tmp_path / "store"))
+    with pytest.raises(ValueError, match="on_missing"):
+        ingest.ingest_batch(store, "x", upto(0, 0), on_missing="other")
+    stats = ingest.ingest_batch(store, "a", upto(0, 5), budget=60_000)
+    assert (stats.blocks, stats.transactions, stats.outputs, stats.inputs, stats.resolved) == (6, 14, 18, 14, 8) and stats.chunks > 1
+    assert ingest.ingest_batch(store, "a", upto(0, 5), budget=60_000) == ingest.BatchStats()  # run again: nothing new
+    assert store.resume_height() == 6
+    with pytest.raises(ingest.DuplicateKeys):
+        ingest.ingest_batch(store, "b", upto(5, 6))
+    fork = codec.read_block(chain(1, "77" * 32, 6)[0][2])
+    bad = upto(6, 6) | {"blocks": upto(6, 6)["blocks"].withColumn("previous_hash", F.lit("77" * 32))}
+    with pytest.raises(ingest.ReorgDetected) as e:
+        ingest.ingest_batch(store, "c", bad)
+    assert (e.value.height, e.value.expected, e.value.actual) == (6, rows[5][1], fork["previous_hash"])
+    assert ingest.ingest_batch(store, "d", upto(6, 7)).resolved == 4 and ingest.ingest_block(store, upto(8, 8), 8).blocks == 1
+    whole = {"fees": sorted(r.fee for r in store.table("transactions").where("not is_coinbase").collect()), "spends": store.versions("spends").count(), "benefits": store.versions("benefits_to").count()}
+    assert whole == {"fees": [10**8] * 14, "spends": 14, "benefits": sum(1 for _ in tables["outputs"].where("address is not null").collect())}
+    before = {n: sorted(map(str, store.versions(n).collect())) for n in ("blocks", "outputs", "spends")}
+    assert store.compact("all") and not store.compact("again") and {n: sorted(map(str, store.versions(n).collect())) for n in before} == before
+    # blocks of a writer that stopped before their transactions
+    more = spark.createDataFrame([(9, "x9", rows[8][1], 2), (10, "x10", "x9", 1)], "height long, hash string, previous_hash string, tx_count long")
+    store.append("cut", {"blocks": more.join(upto(0, 0)["blocks"].drop("height", "hash", "previous_hash", "tx_count").limit(1)).select(*store.versions("blocks").columns)})
+    assert store.resume_height() == 11 and ingest.recover(store) == 9 and ingest.recover(store) == 9
+    report = ingest.status_report(store)
+    assert (report["height"], report["resume_height"], report["status"]) == (8, 9, "in_progress") and "again" in report["hint"]
+    assert ingest.recover(Store(spark, str(tmp_path / "none"))) == 0
+
+
+def test_blocks_by_height(spark, tmp_path):
+    rows, places, data = chain(6), [], b""
+    for h, _, raw in rows:
+        places.append((h, 3, len(data) + 8))
+        data += codec.framed(raw)
+    (tmp_path / "blk00003.dat").write_bytes(data)
+    index = spark.createDataFrame(places, "height long, file_number long, file_offset long")
+    got = block_files.load_heights(spark, index, 2, 9, f"file:{tmp_path}")
+    assert sorted((r.height, r.hash) for r in got.collect()) == [(h, x) for h, x, _ in rows[2:]]
+    assert [tuple(r)[1:] for r in block_files.read_counters(block_files.scan_blocks(spark, str(tmp_path))).collect()] == [(6, places[-1][2] - 8)]
+    with pytest.raises(Exception, match="blk00004"):
+        block_files.load_heights(spark, index.withColumn("file_number", F.lit(4)), 2, 2, f"file:{tmp_path}").collect()
+    with pytest.raises(Exception, match="BadBytes"):
+        block_files.load_heights(spark, index.withColumn("file_offset", F.col("file_offset") + 1), 2, 2, f"file:{tmp_path}").collect()
+
+
+def test_utxo_files(spark, tmp_path):
+    from ledgerlens.sources.store import read_utxo_file, write_utxo_file
+
+    path = str(tmp_path / "u.bin")
+    assert read_utxo_file(spark, path) is None
+    entries = [("ab" * 32 + ":1", 5, "P2PKH", "1é"), ("cd" * 32 + ":4294967295", 2**50, "NULL_DATA", None), *(("00" * 32 + f":{k}", k, "UNKNOWN", "") for k in range(3))]
+    frame = spark.createDataFrame(entries, "output_id string, amount long, script_type string, address string")
+    assert write_utxo_file(frame, path, 42) == 5
+    data = (tmp_path / "u.bin").read_bytes()
+    assert data[:4] == b"UTXO" and struct.unpack("<IQI", data[4:20]) == (1, 5, 42) and struct.unpack("<I", data[20:24])[0] == __import__("zlib").crc32(data[24:])
+    height, got = read_utxo_file(spark, path)
+    assert height == 42 and sorted(map(str, got.collect())) == sorted(map(str, frame.collect()))
+    for bad in (data[:-1], data + b"x", b"UTXX" + data[4:], data[:30] + b"\x55" + data[31:], data[:10]):
+        with pytest.raises(codec.BadBytes):
+            codec.utxo_entries(bad)
+
+
+def test_refused_credentials_are_not_tried_again(monkeypatch):
+    import urllib.error
+    import urllib.request
+
+    tries = []
+
+    def refuse(request, timeout):
+        tries.append(1)
+        raise urllib.error.HTTPError(request.full_url, 401, "no", None, None)
+
+    monkeypatch.setattr(urllib.request, "urlopen", refuse)
+    with pytest.raises(RpcError, match="credentials"):
+        Node("http://localhost:1", waits=(0, 0)).tip_height()
+    assert len(tries) == 1
