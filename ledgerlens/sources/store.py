@@ -32,6 +32,12 @@ class Store:
         versions = [int(n[9:-5]) for n in self.files.names() if n.startswith("manifest-")]
         return self.files.read(f"manifest-{max(versions)}.json") if versions else dict(EMPTY)
 
+    def _save(self, rows: DataFrame, path: str) -> None:
+        rows.write.mode("overwrite").option("maxRecordsPerFile", MOST_ROWS).parquet(path)
+
+    def _load(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*paths)
+
     def _publish(self, m: dict, **changes) -> None:
         m = m | changes | {"version": m["version"] + 1}
         self.files.publish(f"manifest-{m['version']}.json", m)
@@ -70,7 +76,7 @@ class Store:
             for name, rows in tables.items():
                 if name in ("performs", "benefits_to"):
                     rows = rows.repartition(BUCKETS, "address")
-                rows.sortWithinPartitions(_height(name)).write.mode("overwrite").option("maxRecordsPerFile", MOST_ROWS).parquet(f"{base}/{name}")
+                self._save(rows.sortWithinPartitions(_height(name)), f"{base}/{name}")
         except Exception:
             self.abort()
             raise
@@ -79,7 +85,7 @@ class Store:
         entry = {"id": batch, "tables": sorted(tables), "upto": None}
         tip = None
         if "blocks" in tables:
-            tip = self.spark.read.parquet(f"{base}/blocks").agg(F.max(F.struct("height", "hash")).alias("t")).first().t
+            tip = self._load([f"{base}/blocks"]).agg(F.max(F.struct("height", "hash")).alias("t")).first().t
         if tip is None and above is not None:
             tip = self._tip(earlier)
         self._publish(m, batches=[*earlier, entry], **({"height": tip.height, "hash": tip.hash} if tip else {}))
@@ -99,7 +105,7 @@ class Store:
                 groups.setdefault(b["upto"], []).append(f"{self.files.root}/batch-{b['id']}/{name}")
         out = None
         for upto, paths in groups.items():
-            rows = self.spark.read.parquet(*paths)
+            rows = self._load(paths)
             rows = rows if upto is None else rows.where(F.col(_height(name)) <= upto)
             out = rows if out is None else out.unionByName(rows)
         return out
@@ -146,8 +152,7 @@ class Store:
         names = sorted({t for b in m["batches"] for t in b["tables"]})
         for name in names:
             rows = self._rows(name, m["batches"])
-            rows = rows.repartitionByRange(_height(name)).sortWithinPartitions(_height(name))
-            rows.write.mode("overwrite").option("maxRecordsPerFile", MOST_ROWS).parquet(f"{self.files.root}/batch-{batch}/{name}")
+            self._save(rows.repartitionByRange(_height(name)).sortWithinPartitions(_height(name)), f"{self.files.root}/batch-{batch}/{name}")
         self._publish(m, batches=[{"id": batch, "tables": names, "upto": None}])
         return True
 
@@ -172,6 +177,57 @@ class Store:
         return gone
 
 
+    def layout(self) -> DataFrame:
+        """table, key, sorted_by, batches, files of each table: what stands in for indexes."""
+        m, rows = self.manifest(), []
+        for name in sorted({t for b in m["batches"] for t in b["tables"]}):
+            rows.append((name, KEYS.get(name), _height(name), sum(name in b["tables"] for b in m["batches"]), len(self.versions(name).inputFiles())))
+        return self.spark.createDataFrame(rows, "table string, key string, sorted_by string, batches long, files long")
+
+
+class MemoryFiles:
+    """What Files does, in memory."""
+
+    root = "memory"
+
+    def __init__(self):
+        self.held: dict[str, dict] = {}
+
+    def names(self) -> list[str]:
+        return list(self.held)
+
+    def read(self, name: str) -> dict | None:
+        return self.held.get(name)
+
+    def publish(self, name: str, value: dict) -> None:
+        if name in self.held:
+            raise FileExistsError(name)
+        self.held[name] = value
+
+    def remove(self, name: str) -> None:
+        self.held.pop(name, None)
+
+
+class MemoryStore(Store):
+    """A store for tests: tables are kept as rows on the driver, and writing a table named in fail_on fails."""
+
+    def __init__(self, spark: SparkSession, fail_on: set[str] = frozenset()):
+        self.spark, self.files, self.open = spark, MemoryFiles(), None
+        self.fail_on, self.kept = set(fail_on), {}
+
+    def _save(self, rows: DataFrame, path: str) -> None:
+        if path.rpartition("/")[2] in self.fail_on:
+            raise OSError(f"{path} can't be written")
+        self.kept[path] = (rows.collect(), rows.schema)
+
+    def _load(self, paths: list[str]) -> DataFrame:
+        out = None
+        for p in paths:
+            rows = self.spark.createDataFrame(*self.kept[p])
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+
 def _cut(batches: list[dict], above: int | None) -> list[dict]:
     return batches if above is None else [b | {"upto": above if b["upto"] is None else min(b["upto"], above)} for b in batches]
 

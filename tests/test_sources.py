@@ -376,3 +376,41 @@ def test_refused_credentials_are_not_tried_again(monkeypatch):
     with pytest.raises(RpcError, match="credentials"):
         Node("http://localhost:1", waits=(0, 0)).tip_height()
     assert len(tries) == 1
+
+
+def test_following_a_node_through_a_fork(spark, tmp_path):
+    from ledgerlens.streaming import follow
+
+    rows = small_chain(7)
+    store = Store(spark, str(tmp_path / "store"))
+    first = follow.catch_up(spark, store, Node("", waits=(0,), post=fake_node(rows[:5], 1)), blocks_at_once=3)
+    assert (first.blocks, store.resume_height()) == (5, 5) and follow.fork_height(store, Node("", post=fake_node(rows))) == 4
+    assert follow.catch_up(spark, store, Node("", post=fake_node(rows[:5]))).blocks == 0
+    other = [*rows[:3], *chain(5, rows[2][1], 3, salt=1)]  # the node has another chain from height 3 on
+    assert follow.fork_height(store, Node("", post=fake_node(other))) == 2
+    turns = []
+    follow.follow(spark, store, Node("", post=fake_node(other)), lambda: len(turns) >= 2, wake=turns.append)
+    assert [r.hash for r in store.table("blocks").orderBy("height").collect()] == [x for _, x, _ in other]
+    assert follow.catch_up(spark, Store(spark, str(tmp_path / "late")), Node("", post=fake_node(rows)), confirmations=2).blocks == 5
+    whole = Store(spark, str(tmp_path / "whole"))
+    follow.catch_up(spark, whole, Node("", post=fake_node(other)))
+    for name in ("transactions", "outputs", "spends", "performs", "benefits_to"):
+        assert sorted(map(str, store.table(name).collect())) == sorted(map(str, whole.table(name).collect())), name
+    with pytest.raises(ConnectionError):
+        follow.follow(spark, whole, Node("", waits=(), post=fake_node(rows, 99)), lambda: False)
+    assert whole.manifest()["status"] == "error"
+
+
+def test_store_in_memory_fails_where_told(spark):
+    from ledgerlens.sources.store import MemoryStore
+
+    s = MemoryStore(spark, {"outputs"})
+    blocks = spark.createDataFrame([(0, "a"), (1, "b")], "height long, hash string")
+    outs = spark.createDataFrame([("x:0", 0)], "output_id string, block_height long")
+    with pytest.raises(OSError, match="outputs"):
+        s.append("a", {"blocks": blocks, "outputs": outs})
+    assert s.resume_height() == 0 and s.open is None and s.manifest()["batches"] == []
+    s.fail_on.clear()
+    assert s.append("a", {"blocks": blocks, "outputs": outs}) and s.resume_height() == 2 and s.table("outputs").count() == 1
+    assert s.rollback(0) and s.table("blocks").count() == 1
+    assert [tuple(r)[:4] for r in s.layout().collect()] == [("blocks", "height", "height", 1), ("outputs", "output_id", "block_height", 1)]
