@@ -2,46 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens import checkpoints
+
 #: Spark's setting that deletes a query's shuffle files at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Spark's setting for the size of a batch that goes to Python, and the most that the operators let it be.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
-def shared_checkpoints(spark: SparkSession) -> None:
-    """Make DataFrame.checkpoint() usable: the cluster's shared folder; on one machine, a temporary one where none is set."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if not folder and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ledgerlens-"))
-
-
 def saved(df: DataFrame) -> DataFrame:
     """The frame, computed once and written to the shared checkpoint folder, so that lost executors lose nothing.
 
     Nothing reads the shuffles behind it again, so Spark deletes their files once it is written. The plan is a copy:
-    one that df itself has run keeps its shuffles. A checkpoint carries on Spark's estimate of its size, which a join
-    multiplies: over an iteration's rounds it grows to numbers of millions of digits. So the rows become a frame of
-    their own, without an estimate; adaptive execution goes by sizes as they are.
+    one that df itself has run keeps its shuffles.
     """
-    spark = df.sparkSession
-    shared_checkpoints(spark)
-    was = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    conf = df.sparkSession.conf
+    was = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
     try:
-        done = df.select("*").checkpoint()._jdf
+        return checkpoints.saved(df.select("*"))
     finally:
-        spark.conf.set(CLEANUP, was)
-    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)
+        conf.set(CLEANUP, was)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -121,6 +121,11 @@ def train(stats: DataFrame, labels: DataFrame, label: str = "quality", rows: int
 
 
 def score(stats: DataFrame, trees: Trees) -> DataFrame:
+    """doc_id, score of each row of stats (doc_id, x): 0 to 1. Repeated rows and null ids give their own rows, no rows none.
+
+    A statistic equal to a cut goes to the left. The statistics of a null or empty text are all 0, which has a score too.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(FEATURES))

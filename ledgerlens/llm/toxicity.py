@@ -122,7 +122,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
-    """Weights of a Model. With no toxic or no other document in the sample: the share of toxic ones for any sentence."""
+    """Weights of a Model, from labelled rows that aren't held out.
+
+    With no toxic or no other document in the sample there is nothing to tell them apart by: no weights, and a bias at
+    which any sentence is clean. Of equally good features at the end of the list the first by name stays.
+    """
     sample = saved(labelled(documents, labels, label, rows))
     counts = in_arrow(sample, _counts, "f string, p long, n long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     counts = saved(counts.where("p > 0"))
@@ -188,7 +192,11 @@ def _fit(got: dict, index: dict[str, int], start: np.ndarray, steps: int = 150)
 
 
 def score(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
-    """doc_id, score of each row and, on request, the offending sentences; null and empty texts score 0 (no sentence)."""
+    """doc_id, score of each row and, on request, the offending sentences (start, end, score; in order).
+
+    Null and empty texts score 0 (no sentence), as do all texts of a model without labels to within its bias. Repeated
+    rows and null ids give their own rows; other columns are ignored; no rows give none. Texts are read whole.
+    """
     weights, bias = model.weights, model.bias
 
     def make():
@@ -209,7 +217,10 @@ def score(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
 
 
 def flagged(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs that score below the threshold, with all their columns, in one pass."""
+    """The rows of docs that score below the threshold, with all their columns, in one pass.
+
+    Null and empty texts score 0 and stay. Repeated rows and null ids are judged each for itself.
+    """
     weights, bias, names = model.weights, model.bias, docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
