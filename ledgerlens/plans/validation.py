@@ -225,18 +225,28 @@ SUMMARY = {
 
 @query("SELECT " + ", ".join(f"({sql}) AS {name}" for name, sql in SUMMARY.items()))
 def v_summary(c: Chain) -> DataFrame:
-    """All counters of the chain in one row: one pass over each relation, whose counters are one aggregate."""
-    known = c.base.select("txid", F.lit(True).alias("known"))
-    spent = c.spends.select("output_id", "input_id")
-    outs = c.outputs.join(known, "txid", "left").join(spent.select("output_id", F.lit(True).alias("spent")), "output_id", "left")
-    ins = c.inputs.join(known, "txid", "left").join(spent.select("input_id", F.lit(True).alias("resolved")), "input_id", "left")
+    """All counters of the chain in one row.
+
+    Outputs meet what refers to them in one join by output, and all that belongs to a transaction in one by transaction;
+    both sides are summed before. Each relation is read for one aggregate that has all its counters.
+    """
+    n = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    refs = c.inputs.where("not is_coinbase").groupBy(F.col("previous_output_id").alias("output_id")).agg(F.count("*").alias("refs"))
+    states = c.lines.select("output_id", "amount").withColumn("there", F.lit(True)).join(refs, "output_id", "full")
+    here, free = F.col("there").isNotNull(), F.col("there").isNotNull() & F.col("refs").isNull()
+    resolved = ledger.resolve_inputs(c.inputs, c.lines)
+    made = c.lines.groupBy("txid").agg(F.sum("amount").alias("made"), F.count("*").alias("outputs"))
+    took = c.inputs.groupBy("txid").agg(F.count("*").alias("inputs"))
+    spent = resolved.groupBy("txid").agg(F.sum("amount").alias("spent"))
+    by_tx = c.base.select("txid", "is_coinbase").join(made, "txid", "full").join(took, "txid", "full").join(spent, "txid", "left").na.fill(0, ["made", "spent"])
+    wrong = ~F.col("is_coinbase") & (F.col("spent") != F.col("made") + ledger.floor_fee(F.col("spent"), F.col("made")))
+    lost = lambda name: F.coalesce(F.sum(F.when(F.col("is_coinbase").isNull(), F.col(name))), F.lit(0)).alias(f"orphaned_{name}")
     one = [
         c.blocks.agg(F.count("*").alias("blocks"), F.max("height").alias("height")),
-        c.transactions.agg(F.count("*").alias("transactions"), F.count_if("is_coinbase").alias("coinbases"), F.count_if(F.expr("not is_coinbase and total_input <> total_output + fee")).alias("balance_errors")),
-        outs.agg(F.count("*").alias("outputs"), F.count_if(F.col("spent").isNull()).alias("utxos"), F.sum(F.when(F.col("spent").isNull(), F.col("amount"))).alias("total_satoshis"), F.count_if(F.col("known").isNull()).alias("orphaned_outputs")),
-        ins.agg(F.count("*").alias("inputs"), F.count("resolved").alias("spends"), F.count_if(F.col("known").isNull()).alias("orphaned_inputs"), F.count_if(~F.col("is_coinbase") & F.col("resolved").isNull()).alias("missing_spends")),
-        c.resolved.where("address is not null").select("address", "txid").distinct().agg(F.count("*").alias("performs")),
-        c.lines.where("address is not null").join(c.base.select("txid"), "txid", "left_semi").groupBy("address", "txid").agg(F.lit(1).alias("x")).groupBy("address").agg(F.count("*").alias("k")).agg(F.count("*").alias("addresses"), F.sum("k").alias("benefits_to")),
+        by_tx.agg(F.count("is_coinbase").alias("transactions"), F.count_if("is_coinbase").alias("coinbases"), F.count_if(wrong).alias("balance_errors"), n("outputs"), n("inputs"), lost("outputs"), lost("inputs")),
+        states.agg(F.count_if(free).alias("utxos"), F.sum(F.when(free, F.col("amount"))).alias("total_satoshis"), F.coalesce(F.sum(F.when(here, F.col("refs"))), F.lit(0)).alias("spends"), F.coalesce(F.sum(F.when(~here, F.col("refs"))), F.lit(0)).alias("missing_spends")),
+        resolved.where("address is not null").select("address", "txid").distinct().agg(F.count("*").alias("performs")),
+        c.lines.where("address is not null").groupBy("address", "txid").agg(F.lit(1).alias("x")).groupBy("address").agg(F.count("*").alias("k")).agg(F.count("*").alias("addresses"), F.sum("k").alias("benefits_to")),
     ]
     out = one[0]
     for row in one[1:]:
