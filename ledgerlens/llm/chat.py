@@ -82,6 +82,47 @@ def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out()
 
 
+MESSAGES = pa.schema([("conv_id", pa.int64()), ("message", pa.int64()), ("part", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+KEYS = ["conv_id", "message", "part"]
+
+
+def _messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """States sorted by message and task -> messages: each state applied to the one before."""
+    rows: list[tuple] = []
+    key, role, texts, held = None, None, [], 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(col, type=f.type) for col, f in zip(zip(*rows, strict=True), MESSAGES, strict=True)], schema=MESSAGES)
+        rows.clear()
+
+    for batch in batches:
+        for *own, _, reset, own_role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if tuple(own) != key:
+                if key is not None:
+                    rows.append((*key, role or "", "".join(texts)))
+                    held += len(rows[-1][-1])
+                    if len(rows) >= 2000 or held > PIECE:
+                        yield from out()
+                        held = 0
+                key, role, texts = tuple(own), None, []
+            if reset:
+                texts = []
+            role = own_role if own_role is not None else role
+            texts.append(text)
+    if key is not None:
+        rows.append((*key, role or "", "".join(texts)))
+    if rows:
+        yield from out()
+
+
+def _dealt_states(events: DataFrame) -> DataFrame:
+    """The states of events, those of a message together and in order, dealt by ranges of messages."""
+    rank = F.coalesce(F.element_at(F.create_map(*[c for k, n in {"start": 0, "regenerate": 1, "edit": 2}.items() for c in (F.lit(k), F.lit(n))]), F.col("kind")), F.lit(3))
+    dealt = events.select(*KEYS, "seq", rank.alias("rank"), "kind", "role", "text").repartitionByRange(*KEYS, "seq").sortWithinPartitions(*KEYS, "seq", "rank", "role", "text")
+    states = in_arrow(dealt.select(*KEYS, "kind", "role", "text", F.spark_partition_id().cast("long").alias("task")), _states, "conv_id long, message long, part long, piece long, reset boolean, role string, text string")
+    return states.repartitionByRange(*KEYS).sortWithinPartitions(*KEYS, "piece")
+
+
 def fold(events: DataFrame) -> DataFrame:
     """events (conv_id, message, part, seq, kind, role, text) -> conv_id, message, part, role, text.
 
@@ -94,20 +135,12 @@ def fold(events: DataFrame) -> DataFrame:
     spread over tasks: each task folds its events, in one pass, into one state a message, and a message's states (as
     many as tasks have events of it) are put together. The work grows in proportion to the log.
     """
-    rank = F.coalesce(F.element_at(F.create_map(*[c for k, n in {"start": 0, "regenerate": 1, "edit": 2}.items() for c in (F.lit(k), F.lit(n))]), F.col("kind")), F.lit(3))
-    keys = ["conv_id", "message", "part"]
-    dealt = events.select(*keys, "seq", rank.alias("rank"), "kind", "role", "text").repartitionByRange(*keys, "seq").sortWithinPartitions(*keys, "seq", "rank", "role", "text")
-    states = in_arrow(dealt.select(*keys, "kind", "role", "text", F.spark_partition_id().cast("long").alias("task")), _states, "conv_id long, message long, part long, piece long, reset boolean, role string, text string")
-    log = F.sort_array(F.collect_list(F.struct("piece", "reset", "role", "text")))
-    own = states.groupBy(*keys).agg(log.alias("log"))
-    last = F.coalesce(F.array_max(F.transform("log", lambda s, k: F.when(s["reset"], k + 1))), F.lit(1))
-    roles = F.filter(F.transform("log", lambda s: s["role"]), lambda r: r.isNotNull())
-    text = F.array_join(F.transform(F.slice("log", last, F.size("log")), lambda s: s["text"]), "")
-    return own.select(*keys, F.coalesce(F.try_element_at(roles, F.lit(-1)), F.lit("")).alias("role"), text.alias("text"))
+    return in_arrow(_dealt_states(events), _messages, "conv_id long, message long, part long, role string, text string")
 
 
 FIELDS = [("conv_id", pa.int64()), ("message", pa.int64()), ("part", pa.int64()), ("piece", pa.int64()), ("open", pa.bool_()), ("n_turns", pa.int64()), ("turns", pa.binary()), ("loss", pa.binary()), ("loss_chars", pa.int64()), ("formatted_chars", pa.int64())]
 STAGED = pa.schema(FIELDS)
+STAGED_DDL = "conv_id long, message long, part long, piece long, open boolean, n_turns long, turns binary, loss binary, loss_chars long, formatted_chars long"
 PIECE = 256 * 1024
 
 
@@ -205,10 +238,17 @@ def conversation_digests(messages: DataFrame) -> DataFrame:
     Messages are dealt by ranges of (conv_id, message, part), so a conversation of any length spreads over tasks; only
     the bytes of conversations that cross a range's border meet again, piece by piece, as a digest must be fed in order.
     """
-    keys = ["conv_id", "message", "part"]
-    staged = messages.select(*keys, "role", "text").repartitionByRange(*keys).sortWithinPartitions(*keys)
-    staged = in_arrow(staged, _pieces, "conv_id long, message long, part long, piece long, open boolean, n_turns long, turns binary, loss binary, loss_chars long, formatted_chars long")
-    order = ["conv_id", "message", "part", "piece"]
+    dealt = messages.select(*KEYS, "role", "text").repartitionByRange(*KEYS).sortWithinPartitions(*KEYS)
+    return _digested(in_arrow(dealt, _pieces, STAGED_DDL))
+
+
+def digests_of_events(events: DataFrame) -> DataFrame:
+    """conversation_digests(fold(events)), with states that are folded and rendered where they were dealt."""
+    return _digested(in_arrow(_dealt_states(events), lambda batches: _pieces(_messages(batches)), STAGED_DDL))
+
+
+def _digested(staged: DataFrame) -> DataFrame:
+    order = [*KEYS, "piece"]
     return in_arrow(staged.repartition("conv_id").sortWithinPartitions(*order), _digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
@@ -225,7 +265,7 @@ PROBE = "<|im_end|><|im_start|>assistant ok"
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
-    return conversation_digests(fold(events_of(rows.unionByName(probe))))
+    return digests_of_events(events_of(rows.unionByName(probe)))
 
 
 OP4_SQL = r"""

@@ -165,6 +165,7 @@ def test_chat_events_and_digests(spark):
     rows = [(c, t, rng.choice(["user", "assistant", None, "a\\n\nb<|"]), rng.choice([None, "", chat.PROBE, "x<\\|y<|", "line\nline", "é" * 20])) for c in (1, 2, 3, None) for t in range(7 if c != 2 else 400)] + [(3, 2, "user", "again"), (3, 2, "user", "again")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
     got = {r.conv_id: r for r in chat.conversation_digests(chat.fold(chat.events_of(frame))).collect()}
+    assert got == {r.conv_id: r for r in chat.digests_of_events(chat.events_of(frame)).collect()}
     key = lambda x: (x[1], x[2] is not None, x[2] or "", x[3] is not None, x[3] or "")
     for conv in (1, 2, 3, None):
         own = sorted((r for r in rows if r[0] == conv), key=key)
@@ -631,6 +632,8 @@ def test_chat_folds_long_logs_in_parts(spark):
     events = spark.createDataFrame(log, "conv_id long, message long, part long, seq long, kind string, role string, text string").repartition(5)
     got = {(r.conv_id, r.message, r.part): (r.role, r.text) for r in chat.fold(events).collect()}
     assert got == {k: (role, "".join(parts)) for k, (role, parts) in want.items()}
+    assert sorted(map(str, chat.digests_of_events(events).collect())) == sorted(map(str, chat.conversation_digests(chat.fold(events)).collect()))
+    assert chat.digests_of_events(events.where("false")).collect() == []
     assert chat.fold(events.where("false")).collect() == [] and chat.conversation_digests(chat.fold(events.where("false"))).collect() == []
     rows = [(1, k, "assistant", "é" * 500 + "<|") for k in range(1500)]  # more than a piece
     r = chat.conversation_digests(chat.fold(chat.events_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))).first()
