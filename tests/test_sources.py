@@ -414,3 +414,55 @@ def test_store_in_memory_fails_where_told(spark):
     assert s.append("a", {"blocks": blocks, "outputs": outs}) and s.resume_height() == 2 and s.table("outputs").count() == 1
     assert s.rollback(0) and s.table("blocks").count() == 1
     assert [tuple(r)[:4] for r in s.layout().collect()] == [("blocks", "height", "height", 1), ("outputs", "output_id", "block_height", 1)]
+
+
+class Publisher:
+    """The other side of a subscription, on a port of this machine: each connection gets one list of messages, then is closed or held."""
+
+    def __init__(self, connections):
+        import socket
+        import threading
+
+        self.server = socket.create_server(("127.0.0.1", 0))
+        self.address = f"tcp://127.0.0.1:{self.server.getsockname()[1]}"
+        self.connections, self.topics, self.held = connections, [], []
+        threading.Thread(target=self.run, daemon=True).start()
+
+    def run(self):
+        from ledgerlens.sources import notify
+
+        for messages in self.connections:
+            s, _ = self.server.accept()
+            s.sendall(notify.greeting())
+            read = lambda n, s=s: b"".join(iter(lambda: s.recv(1), None).__next__() for _ in range(n))
+            read(64)
+            s.sendall(notify.ready(b"PUB"))
+            read(1)
+            read(read(1)[0])  # their READY
+            read(1)
+            self.topics.append(read(read(1)[0]))
+            for frames in messages:
+                for k, body in enumerate(frames):
+                    s.sendall(notify.frame(body, notify.MORE if k + 1 < len(frames) else 0))
+            if messages and messages[-1] == [b"end"]:
+                s.close()
+            self.held.append(s)
+
+
+def test_announcements_over_connections():
+    from ledgerlens.sources import notify
+
+    raw = bytes.fromhex(GENESIS_HASH)[::-1]
+    note = lambda n: [b"hashblock", raw, struct.pack("<I", n)]
+    p = Publisher([[note(2**32 - 1), note(0), [b"hashblock", raw[:9]], [b"other", b"x" * 300], [b"end"]], [note(3), note(4)]])
+    s = notify.Subscriber(p.address, waits=(0, 0, 0), timeout=5)
+    assert list(s.announcements(1)) == [(GENESIS_HASH, 2**32 - 1, None), (GENESIS_HASH, 0, None), (GENESIS_HASH, 3, 1), (GENESIS_HASH, 4, None)]
+    assert p.topics == [b"\x01hashblock"] * 2
+    s.close()
+    p.server.close()
+    with pytest.raises(OSError):
+        notify.Subscriber(p.address, waits=(0,), timeout=1).receive(1)
+    notify.Subscriber(p.address, waits=(), timeout=1).wake(0.1)
+    for bad in ("http://x:1", "tcp://x", "tcp://x:y"):
+        with pytest.raises(ValueError, match="tcp"):
+            notify.Subscriber(bad)
