@@ -466,3 +466,74 @@ def test_announcements_over_connections():
     for bad in ("http://x:1", "tcp://x", "tcp://x:y"):
         with pytest.raises(ValueError, match="tcp"):
             notify.Subscriber(bad)
+
+
+def test_block_index_of_leveldb_files(spark, tmp_path):
+    """Files written here by the format's description: a table packed and one not, a log of records over several blocks."""
+    import pyarrow as pa
+
+    from ledgerlens.sources import leveldb
+
+    def varint(n):
+        out = b""
+        while n >= 0x80:
+            out, n = out + bytes([n & 0x7F | 0x80]), n >> 7
+        return out + bytes([n])
+
+    def packed(entries):
+        out, before = b"", b""
+        for key, value in entries:
+            shared = next((k for k, (a, b) in enumerate(zip(before, key, strict=False)) if a != b), min(len(before), len(key)))
+            out, before = out + varint(shared) + varint(len(key) - shared) + varint(len(value)) + key[shared:] + value, key
+        return out + struct.pack("<II", 0, 1)
+
+    def table(entries, snappy):
+        out, handles = b"", []
+        rows = [(k + struct.pack("<Q", n << 8 | (v is not None)), v or b"") for k, n, v in sorted(entries)]
+        for at in range(0, len(rows), 7):
+            body = packed(rows[at : at + 7])
+            body = pa.compress(body, "snappy", asbytes=True) if snappy else body
+            handles.append((rows[min(at + 6, len(rows) - 1)][0], varint(len(out)) + varint(len(body))))
+            out += body + bytes([int(snappy)]) + bytes(4)
+        index = packed(handles)
+        footer = varint(0) + varint(0) + varint(len(out)) + varint(len(index))
+        return out + index + bytes(5) + footer.ljust(40, b"\0") + struct.pack("<Q", leveldb.TABLE_MAGIC)
+
+    def log(entries, first):
+        record = struct.pack("<QI", first, len(entries))
+        for k, v in entries:
+            record += bytes([v is not None]) + varint(len(k)) + k + (varint(len(v)) + v if v is not None else b"")
+        out, kind = b"", 2
+        while record:
+            room = 32768 - len(out) % 32768 - 7
+            if room < 0:
+                out += bytes(room + 7)
+                continue
+            part, record = record[:room], record[room:]
+            kind = (4 if kind == 3 else 1) if not record else kind
+            out, kind = out + bytes(4) + struct.pack("<HB", len(part), kind) + part, 3
+        return out
+
+    def seven(n):
+        out = bytes([n & 0x7F])
+        n = (n >> 7) - 1
+        while n >= 0:
+            out, n = bytes([n & 0x7F | 0x80]) + out, (n >> 7) - 1
+        return out
+
+    key = lambda h: b"b" + hashlib.sha256(str(h).encode()).digest()
+    value = lambda h, offset: b"".join(map(seven, (1, h, 12, 3, h // 10, offset)))
+    old = [(key(h), h + 1, value(h, 5 if h == 7 else 1000 * h)) for h in range(40)]
+    (tmp_path / "000001.ldb").write_bytes(table([*old, (b"F\x07txindex", 90, b"0"), (b"b" + bytes(32), 91, b"\x01"), (key(100), 92, value(100, 1))], True))
+    (tmp_path / "000002.sst").write_bytes(table([(key(7), 200, value(7, 7000)), (key(100), 201, None)], False))
+    (tmp_path / "000003.log").write_bytes(log([(key(h), value(h, 1000 * h)) for h in range(40, 900)] + [(b"x", None)], 300) + b"\0\0\0\0\x40\x00\x01cut")
+    (tmp_path / "CURRENT").write_text("MANIFEST-000004\n")
+    index = leveldb.block_index(spark, str(tmp_path))
+    rows = {r.height: r for r in index.collect()}
+    assert sorted(rows) == list(range(900)) and all(r.file_offset == 1000 * h and r.file_number == h // 10 and r.hash == key(h)[:0:-1].hex() for h, r in rows.items())
+    leveldb.check_heights(index)
+    for bad, why in ((index.where("height <> 500"), "499, then 501"), (index.where("false"), "no blocks"), (index.unionByName(index.where("height = 3")), "again")):
+        with pytest.raises(leveldb.CorruptIndex, match=why):
+            leveldb.check_heights(bad)
+    with pytest.raises(codec.BadBytes):
+        list(leveldb.table_entries(b"x" * 100))
