@@ -537,3 +537,25 @@ def test_block_index_of_leveldb_files(spark, tmp_path):
             leveldb.check_heights(bad)
     with pytest.raises(codec.BadBytes):
         list(leveldb.table_entries(b"x" * 100))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from ledgerlens.__main__ import main
+
+    rows = small_chain(8)
+    side = chain(1, rows[5][1], 6, salt=1)
+    (tmp_path / "blk00000.dat").write_bytes(b"".join(codec.framed(r) for _, _, r in [*rows[4:], *side]))
+    (tmp_path / "blk00001.dat").write_bytes(b"".join(codec.framed(r) for _, _, r in rows[:4]))
+    store = f"file:{tmp_path}/store"
+    told = lambda *a: (main(list(a), spark), json.loads(capsys.readouterr().out.strip().splitlines()[-1]))[1]
+    assert told("status", store)["resume_height"] == 0
+    assert told("ingest", store, f"file:{tmp_path}", "--upto", "4", "--blocks-at-once", "2")["blocks"] == 5
+    got = told("ingest", store, f"file:{tmp_path}")
+    assert (got["blocks"], got["resolved"]) == (3, 6)
+    assert [r.hash for r in Store(spark, store).table("blocks").orderBy("height").collect()] == [x for _, x, _ in rows]
+    assert told("status", store)["status"] == "completed" and told("rollback", store, "5") == {"rolled_back": True}
+    assert told("compact", store) == {"compacted": True} and told("status", store)["height"] == 5 and len(told("vacuum", store)["removed"]) > 2
+    assert told("ingest", store, f"file:{tmp_path}")["blocks"] == 2
+    assert main(["layout", store], spark) == 0 and "benefits_to" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["follow", store], spark)
