@@ -94,7 +94,7 @@ def ingest_batch(store: Store, batch: str, tables: dict[str, DataFrame], budget:
             "performs": ledger.performs(resolved).join(height, "txid"),
             "benefits_to": ledger.benefits_to(own["outputs"]).join(height, "txid"),
         }
-        store.append(name, rows)
+        store.append(name, rows, unique=unique)
         counts = {n: t.count() for n, t in own.items()}
         total = BatchStats(total.chunks + 1, *(getattr(total, n) + counts[n] for n in ("blocks", "transactions", "outputs", "inputs")), total.resolved + resolved.count())
     return total

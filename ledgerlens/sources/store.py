@@ -59,10 +59,11 @@ class Store:
         self.files.remove(f"batch-{self.open[0]}")
         self.open = None
 
-    def commit(self, above: int | None = None) -> bool:
+    def commit(self, above: int | None = None, unique: bool = False) -> bool:
         """Writes the open transaction's tables, publishes them, and says whether it did: a batch seen before isn't added twice.
 
         above: what lies above that height in earlier batches stops counting with the same manifest (a reorganisation).
+        unique: the caller has checked that no key of the batch is there already, so reading needs no shuffle to find out.
         """
         if not self.open:
             raise RuntimeError("no transaction is open")
@@ -82,7 +83,7 @@ class Store:
             raise
         self.open = None
         earlier = _cut(m["batches"], above)
-        entry = {"id": batch, "tables": sorted(tables), "upto": None}
+        entry = {"id": batch, "tables": sorted(tables), "upto": None, "unique": unique}
         tip = None
         if "blocks" in tables:
             tip = self._load([f"{base}/blocks"]).agg(F.max(F.struct("height", "hash")).alias("t")).first().t
@@ -91,11 +92,11 @@ class Store:
         self._publish(m, batches=[*earlier, entry], **({"height": tip.height, "hash": tip.hash} if tip else {}))
         return True
 
-    def append(self, batch: str, tables: dict[str, DataFrame], above: int | None = None) -> bool:
+    def append(self, batch: str, tables: dict[str, DataFrame], above: int | None = None, unique: bool = False) -> bool:
         self.begin(batch)
         for name, rows in tables.items():
             self.write(name, rows)
-        return self.commit(above)
+        return self.commit(above, unique)
 
     # reading
     def _rows(self, name: str, batches: list[dict]) -> DataFrame | None:
@@ -120,7 +121,8 @@ class Store:
     def table(self, name: str) -> DataFrame:
         """The table; of a key's rows that of the highest block."""
         rows = self.versions(name)
-        return latest(rows, [KEYS[name]], _height(name)).select(rows.columns) if name in KEYS and KEYS[name] != _height(name) else rows
+        unique = all(b.get("unique") for b in self.manifest()["batches"] if name in b["tables"])
+        return latest(rows, [KEYS[name]], _height(name)).select(rows.columns) if name in KEYS and KEYS[name] != _height(name) and not unique else rows
 
     # heights
     def _tip(self, batches: list[dict]):
@@ -153,7 +155,7 @@ class Store:
         for name in names:
             rows = self._rows(name, m["batches"])
             self._save(rows.repartitionByRange(_height(name)).sortWithinPartitions(_height(name)), f"{self.files.root}/batch-{batch}/{name}")
-        self._publish(m, batches=[{"id": batch, "tables": names, "upto": None}])
+        self._publish(m, batches=[{"id": batch, "tables": names, "upto": None, "unique": all(b.get("unique") for b in m["batches"])}])
         return True
 
     def set_status(self, status: str) -> None:
