@@ -1,5 +1,6 @@
 import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import duckdb
 import pytest
@@ -17,18 +18,30 @@ TABLES = ["orders", "lineitem", "events"]
 CHECKED = [n for n in registry.SQL if n.startswith("v_") or hasattr(investigation, n)] + ["tx_amounts", "performs", "utxo_set", "seq_gaps", "reorg_detect", "block_mem_estimate", "format_eta", "script_type", "utxo_key", "shard_sizes", "crash_sync", "bip30_dedup"]
 
 
+@pytest.fixture(scope="module")
+def answers(spark):
+    """name: (columns, rows as text) of each query, several at a time: planning takes most of their time at this scale."""
+    queries = __spark_entry__.queries()
+
+    def run(name):
+        got = queries[name](spark, SF)
+        cols = sorted(got.columns)
+        return cols, sorted(str([row[c] for c in cols]) for row in got.collect())
+
+    with ThreadPoolExecutor(8) as pool:
+        yield {name: pool.submit(run, name) for name in CHECKED}
+
+
 @pytest.mark.parametrize("name", CHECKED)
-def test_query_equals_sql(spark, name):
+def test_query_equals_sql(answers, name):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    got = __spark_entry__.queries()[name](spark, SF)
-    cols = sorted(got.columns)
+    cols, got = answers[name].result()
     r = con.execute(__spark_entry__.oracle_sql()[name])
     names = [d[0] for d in r.description]
     assert sorted(names) == cols
-    want = sorted(str([row[names.index(c)] for c in cols]) for row in r.fetchall())
-    assert sorted(str([row[c] for c in cols]) for row in got.collect()) == want
+    assert got == sorted(str([row[names.index(c)] for c in cols]) for row in r.fetchall())
 
 
 def test_every_query_has_a_name_and_most_have_sql():
